@@ -6,6 +6,7 @@ all rows is reduced inside every map task before the shuffle instead of being
 sorted by one reducer.  The window form (``row_number() = 1``) cannot do that.
 """
 
+import datetime
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -44,8 +45,11 @@ def _ascending_image(df: DataFrame, o: Order) -> Column:
     t = df.schema[o.column].dataType
     if isinstance(t, DateType):
         return -F.unix_date(c)
-    if isinstance(t, (TimestampType, TimestampNTZType)):
-        return -F.unix_micros(c.cast("timestamp"))
+    if isinstance(t, TimestampType):
+        return -F.unix_micros(c)
+    if isinstance(t, TimestampNTZType):
+        # micros from the value back to the epoch: zone independent
+        return F.timestamp_diff("MICROSECOND", c, F.lit(datetime.datetime(1970, 1, 1)).cast("timestamp_ntz"))
     if isinstance(t, (DecimalType, NumericType)):
         return -c
     raise TypeError(f"descending order on {t} is not supported for {o.column}")

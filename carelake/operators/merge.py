@@ -35,34 +35,54 @@ def bucket_of(key: str, n_buckets: int):
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
+    """A bucketed table exists when it has at least one bucket directory.
+
+    (Dynamic partition overwrite writes no ``_SUCCESS`` marker at the root.)
+    """
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS"))
+    if not fs.exists(p):
+        return False
+    return any(st.getPath().getName().startswith(BUCKET_COL + "=") for st in fs.listStatus(p))
 
 
-def merge_into_path(spark: SparkSession, path: str, batch: DataFrame, key: str, n_buckets: int) -> None:
+def merge_into_path(
+    spark: SparkSession, path: str, batch: DataFrame, key: str, n_buckets: int, sort_by: list[str] | None = None
+) -> None:
     """MERGE ``batch`` into the bucketed parquet table at ``path``.
 
     Reads only the touched buckets (partition pruning on ``key_bucket``),
-    merges them and overwrites exactly those partitions.  Task retries after
-    an executor loss re-read the untouched source files: the old partition
-    directories are swapped only at job commit.
+    merges them into a staging table and then overwrites exactly those
+    partitions of the target (dynamic partition overwrite: directories are
+    swapped at job commit, so a failed swap job can simply be re-run from the
+    staged copy).  ``sort_by`` orders rows inside
+    each bucket file (S14 clustering) so parquet min/max statistics prune.
     """
+    order = [BUCKET_COL] + list(sort_by or [])
     src = batch.withColumn(BUCKET_COL, bucket_of(key, n_buckets))
     if "_cleaned_at" not in src.columns:
         src = src.withColumn("_cleaned_at", F.lit(None).cast("timestamp_ntz"))
     if not _exists(spark, path):
         first = src.withColumn("_cleaned_at", F.coalesce("_cleaned_at", F.localtimestamp()))
-        first.repartition(BUCKET_COL).write.mode("overwrite").partitionBy(BUCKET_COL).parquet(path)
+        (first.repartition(BUCKET_COL).sortWithinPartitions(*order)
+         .write.mode("overwrite").partitionBy(BUCKET_COL).parquet(path))
         return
     target = spark.read.parquet(path)
-    touched = src.select(BUCKET_COL).distinct()
-    # Semi join on the partition column: dynamic partition pruning reads
-    # only the touched buckets of the target.
-    affected = target.join(touched, BUCKET_COL, "left_semi")
+    # The touched buckets are at most ``n_buckets`` small ints: a static
+    # partition filter on them prunes the target scan to those directories.
+    touched = sorted(r[0] for r in src.select(BUCKET_COL).distinct().collect())
+    if not touched:
+        return
+    affected = target.filter(F.col(BUCKET_COL).isin(touched))
     merged = upsert(affected, src.select(*target.columns), key)
-    (merged.repartition(BUCKET_COL)
+    # Never overwrite a path from a plan that reads it: the merged buckets are
+    # written to a staging table first (also the recovery point if an
+    # executor is lost), then swapped into the target partition by partition.
+    staging = path.rstrip("/") + "__merge_staging"
+    (merged.repartition(BUCKET_COL).sortWithinPartitions(*order)
+     .write.mode("overwrite").partitionBy(BUCKET_COL).parquet(staging))
+    (spark.read.parquet(staging)
      .write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(BUCKET_COL)

@@ -106,7 +106,7 @@ def vip_patients(wh) -> DataFrame:
 def page_appt_kpi(wh) -> DataFrame:
     fa = wh.table("fact_appointment")
     return fa.agg(
-        F.count_distinct("appt_id").alias("total_appointments"),
+        F.count("appt_id").alias("total_appointments"),  # appt_id is the fact's unique key
         sum_flag("is_completed").alias("completed_visits"),
         rate_pct(F.sum("is_completed"), count_rows(), 1).alias("completion_rate_pct"),
         F.count_distinct("patient_key").alias("unique_patients"),
@@ -159,10 +159,12 @@ def page_insurance_mix(wh) -> DataFrame:
 
 
 def page_top_services(wh) -> DataFrame:
-    fb = wh.table("fact_billing").select("service_key", "department", "net_amount")
+    per_key = wh.table("fact_billing").groupBy("service_key", "department").agg(
+        sum_money("net_amount").alias("s")
+    )
     svc = wh.table("dim_service").select("service_key", "service_desc")
-    g = fb.join(svc, "service_key", "inner").groupBy("service_desc", "department").agg(
-        sum_money("net_amount").alias("revenue")
+    g = per_key.join(svc, "service_key", "inner").groupBy("service_desc", "department").agg(
+        sum_money("s").alias("revenue")
     )
     return top_k(g, 10, [F.col("revenue").desc()], ["service_desc", "department"])
 

@@ -30,17 +30,27 @@ def vw_patient_utilization(wh) -> DataFrame:
 
 
 def vw_daily_opd_trend(wh) -> DataFrame:
-    """Per day with calendar attributes from dim_date."""
+    """Per day with calendar attributes from dim_date.
+
+    The facts are aggregated per day first and only then joined to the
+    calendar: dim_date has one row per date_key and the calendar attributes
+    are functions of the date, so this equals join-then-group while the join
+    sees one row per day instead of every appointment.
+    """
     fa = wh.table("fact_appointment")
-    dd = wh.table("dim_date").select("date_key", "day_name", "is_weekend", "year_month")
-    j = fa.join(dd, "date_key", "inner")
-    return j.groupBy("appt_date", "day_name", "is_weekend", "year_month").agg(
+    per_day = fa.groupBy("date_key", "appt_date").agg(
         count_rows().alias("total_appointments"),
         sum_flag("is_completed").alias("completed_visits"),
         sum_flag("is_no_show").alias("no_shows"),
         F.count_distinct("doctor_key").alias("unique_doctors"),
+    )
+    dd = wh.table("dim_date").select("date_key", "day_name", "is_weekend", "year_month")
+    j = per_day.join(dd, "date_key", "inner")
+    return j.select(
+        "appt_date", "day_name", "is_weekend", "year_month", "total_appointments", "completed_visits",
+        "no_shows", "unique_doctors",
         F.round(
-            count_rows().cast("decimal(20,0)") / F.nullif(F.count_distinct("doctor_key"), F.lit(0)), 2
+            F.col("total_appointments").cast("decimal(20,0)") / F.nullif(F.col("unique_doctors"), F.lit(0)), 2
         ).alias("avg_appt_per_doctor"),
     )
 

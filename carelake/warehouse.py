@@ -82,6 +82,27 @@ class Warehouse:
 
         return apply_policies(self, name, self.resolve(name))
 
+    def register_views(self, names: Sequence[str] | None = None, prefix: str = "") -> list[str]:
+        """Expose tables as temp views so SQL strings run unchanged.
+
+        Views are lazy (no data is read) and carry this warehouse's masking,
+        so ``SELECT ... FROM DIM_PATIENT`` sees what the role may see.
+        """
+        done = []
+        for n in names or self.names():
+            if n.startswith("prepared_"):
+                continue
+            self.table(n).createOrReplaceTempView(prefix + n)
+            done.append(prefix + n)
+        return done
+
+    def sql(self, query: str) -> DataFrame:
+        """Run a SQL string over this warehouse's tables (registered on first use)."""
+        if not getattr(self, "_registered", False):
+            self.register_views()
+            self._registered = True
+        return self.spark.sql(query)
+
     def names(self) -> list[str]:
         from carelake.plans.registry import BUILDERS
 
