@@ -196,8 +196,18 @@ def valid_rows(domain: str, prepared: DataFrame) -> DataFrame:
 
 
 def clean(domain: str, prepared: DataFrame) -> DataFrame:
-    """Valid rows, one per id under DEDUP_ORDER."""
-    return first_per_key(valid_rows(domain, prepared), KEYS[domain], DEDUP_ORDER[domain])
+    """Valid rows, one per id under DEDUP_ORDER.
+
+    WHERE runs before QUALIFY: a valid duplicate beats an invalid one.  This
+    is evaluated as one aggregate whose first order term is "invalid", with
+    the validity filter applied to the winners: the same result as
+    filter-then-dedup, but the rules are evaluated once per row instead of
+    again inside a filter pushed below the projection.
+    """
+    cols = core_columns(domain) + ["_loaded_at", "_source_file"]
+    flagged = prepared.select(*cols, (F.size("_reasons") > 0).alias("_invalid"))
+    best = first_per_key(flagged, KEYS[domain], [asc("_invalid")] + DEDUP_ORDER[domain])
+    return best.filter(~F.col("_invalid")).select(*cols)
 
 
 def rejects(domain: str, prepared: DataFrame) -> DataFrame:
@@ -212,7 +222,8 @@ def exceptions(domain: str, prepared: DataFrame, batch_id: Sequence[int] | int |
     on every executor without coordination and is stable under replay.
     """
     bid = F.lit(batch_id if isinstance(batch_id, int) else None).cast("bigint")
-    r = rejects(domain, prepared).select(
+    # explode() of an empty reason list yields no row: no separate filter.
+    r = prepared.select(
         F.lit(SOURCE_TABLE[domain]).alias("source_table"),
         F.col("_raw_id").alias("record_id"),
         F.explode("_reasons").alias("rejection_reason"),

@@ -27,8 +27,29 @@ SHORT_PHONE = "12345"
 DOCTOR_COUNT = 10
 
 
+# Join key of each large driver table (used to spread a narrow scan).
+SCAN_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id", "customer": "c_custkey"}
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df, SCAN_KEYS.get(name))
+
+
+def spread(df: DataFrame, key: str | None) -> DataFrame:
+    """Hash-partition a scan on its join key when it has fewer splits than the
+    cluster has cores (a single-row-group file is read by one task).
+
+    On large inputs the scan already has thousands of splits and this is a
+    no-op; when it applies, the partitioning is on the key the next join
+    would shuffle on anyway.
+    """
+    if key is None:
+        return df
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key)
 
 
 def _case(expr: Column, mapping: dict) -> Column:

@@ -25,7 +25,7 @@ class Warehouse:
     def __init__(
         self,
         spark: SparkSession,
-        tables: Mapping[str, DataFrame] | None = None,
+        tables: Mapping[str, DataFrame | Callable[[], DataFrame]] | None = None,
         *,
         role: str | None = None,
         exempt_roles: Sequence[str] = EXEMPT_ROLES_DEFAULT,
@@ -41,10 +41,15 @@ class Warehouse:
     # ------------------------------------------------------------ factories
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str, **kw) -> Warehouse:
-        """RAW tables derived from the driver parquet tables under ``sf_dir``."""
-        from carelake.sources.fixtures import raw_tables
+        """RAW tables derived from the driver parquet tables under ``sf_dir``.
 
-        return cls(spark, {f"raw_{d}": df for d, df in raw_tables(spark, sf_dir).items()}, **kw)
+        Each RAW table is built on first use, so a query touching one domain
+        never lists or reads the files of the others.
+        """
+        from carelake.sources.fixtures import RAW_BUILDERS
+
+        lazy = {f"raw_{d}": (lambda b=b: b(spark, sf_dir)) for d, b in RAW_BUILDERS.items()}
+        return cls(spark, lazy, **kw)
 
     @classmethod
     def from_storage(cls, spark: SparkSession, root: str, names: Sequence[str] | None = None, **kw) -> Warehouse:
@@ -67,7 +72,10 @@ class Warehouse:
     def resolve(self, name: str) -> DataFrame:
         """Unmasked table (what the refresh jobs themselves read)."""
         if name in self._given:
-            return self._given[name]
+            given = self._given[name]
+            if callable(given) and not isinstance(given, DataFrame):
+                given = self._given[name] = given()
+            return given
         if name not in self._memo:
             from carelake.plans.registry import BUILDERS
 
