@@ -9,6 +9,9 @@ dimensions and facts from CORE, then the second level from the stored facts.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,25 +43,41 @@ def ingest(spark: SparkSession, root: str, domain: str, landed: DataFrame, batch
     merge_into_path(spark, f"{root}/core/{domain}", batch, KEYS[domain], n_buckets, CORE_SORT[domain])
 
 
+def _concurrently(tasks: dict[str, Callable[[], object]], workers: int) -> dict[str, object]:
+    """Submit independent Spark jobs from driver threads so their tasks share
+    the executors (Spark schedules concurrent jobs of one application)."""
+    if workers <= 1 or len(tasks) <= 1:
+        return {k: f() for k, f in tasks.items()}
+    with ThreadPoolExecutor(max_workers=min(workers, len(tasks))) as pool:
+        futures = {k: pool.submit(f) for k, f in tasks.items()}
+        return {k: fut.result() for k, fut in futures.items()}
+
+
 def ingest_all(spark: SparkSession, root: str, landed: dict[str, DataFrame], batch_id: int,
-               n_buckets: int = DEFAULT_BUCKETS) -> None:
-    for d in DOMAINS:  # patients first
-        if d in landed:
-            ingest(spark, root, d, landed[d], batch_id, n_buckets)
+               n_buckets: int = DEFAULT_BUCKETS, parallel: bool = True) -> None:
+    """Patients first (X14), then appointments and billing side by side."""
+    if "patients" in landed:
+        ingest(spark, root, "patients", landed["patients"], batch_id, n_buckets)
+    rest = {d: (lambda d=d: ingest(spark, root, d, landed[d], batch_id, n_buckets))
+            for d in DOMAINS if d != "patients" and d in landed}
+    _concurrently(rest, 2 if parallel else 1)
 
 
 def refresh_mart(spark: SparkSession, root: str, **wh_kw) -> dict[str, str]:
     """Rebuild every MART snapshot from stored CORE, level by level."""
     from carelake.warehouse import Warehouse
 
-    written = {}
+    workers = wh_kw.pop("parallel_jobs", 4)
     core_names = [f"core_{d}" for d in DOMAINS]
     wh = Warehouse.from_storage(spark, root, core_names, **wh_kw)
-    for name in MART_LEVEL1:
-        written[name] = write_snapshot(spark, wh.resolve(name), root, name, MART_CLUSTER.get(name))
+    level1 = {n: wh.resolve(n) for n in MART_LEVEL1}  # plans built on the driver thread
+    written = _concurrently(
+        {n: (lambda n=n: write_snapshot(spark, level1[n], root, n, MART_CLUSTER.get(n))) for n in MART_LEVEL1},
+        workers)
     wh2 = Warehouse.from_storage(spark, root, core_names + MART_LEVEL1, **wh_kw)
-    for name in MART_LEVEL2:
-        written[name] = write_snapshot(spark, wh2.resolve(name), root, name)
+    level2 = {n: wh2.resolve(n) for n in MART_LEVEL2}
+    written.update(_concurrently(
+        {n: (lambda n=n: write_snapshot(spark, level2[n], root, n)) for n in MART_LEVEL2}, workers))
     return written
 
 
