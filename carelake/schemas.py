@@ -1,7 +1,6 @@
 """Declared schemas: RAW is all strings, CORE is typed (never inferred)."""
 
 from pyspark.sql.types import (
-    BooleanType,
     DateType,
     DecimalType,
     LongType,
@@ -93,5 +92,3 @@ EXCEPTIONS_COLUMNS = [
     "exception_id", "source_table", "record_id", "rejection_reason",
     "record_data", "rejected_at", "reviewed", "batch_id",
 ]
-
-EXCEPTION_FLAG = BooleanType()

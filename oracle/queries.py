@@ -1,9 +1,7 @@
 """Oracle SQL per registered query (DuckDB dialect)."""
 
 from oracle.sql import (
-    CORE_COLS,
     PREP,
-    RAW,
     avg_money,
     core_sql,
     exceptions_sql,
@@ -355,5 +353,3 @@ ORDER BY patient_count DESC, state ASC NULLS FIRST, city ASC NULLS FIRST LIMIT 1
     q["vip_patients_masked"] = W(VIP.format(dim=f"(SELECT patient_key, {MASK_NAME} AS full_name FROM dim_patient)"))
     return q
 
-
-_unused = (CORE_COLS, RAW)

@@ -78,3 +78,31 @@ def test_batch_pipeline_matches_lazy_marts(spark, wh_small, tmp_path):
     for name in ("fact_billing", "dim_patient", "dim_doctor", "mv_monthly_revenue", "dt_dept_appt"):
         cols = [c for c in wh_small.table(name).columns]
         assert _rows(stored.table(name), cols) == _rows(wh_small.table(name), cols), name
+
+
+def test_failed_batch_is_not_consumed(spark, wh_small, tmp_path, monkeypatch):
+    """The offset advances only when the micro-batch commits."""
+    import carelake.streaming.ingest as S
+
+    landing, root, ckpt = str(tmp_path / "landing"), str(tmp_path / "wh"), str(tmp_path / "ckpt")
+    os.makedirs(landing)
+    _land(wh_small, landing, "patients", wh_small.resolve("raw_patients"), "all")
+    real = S.ingest
+
+    def broken(*a, **k):
+        raise RuntimeError("simulated failure inside the micro-batch")
+
+    monkeypatch.setattr(S, "ingest", broken)
+    q = S.start_ingest(spark, landing, root, "patients", checkpoint=ckpt + "/patients")
+    try:
+        q.awaitTermination()
+    except Exception:  # noqa: BLE001 - the query surfaces the batch failure
+        pass
+    assert q.exception() is not None
+
+    monkeypatch.setattr(S, "ingest", real)
+    q = S.start_ingest(spark, landing, root, "patients", checkpoint=ckpt + "/patients")
+    q.awaitTermination()
+    assert sum(S._input_rows(p) for p in q.recentProgress) == 150
+    core = Warehouse.from_storage(spark, root).table("core_patients")
+    assert core.count() == wh_small.table("core_patients").count()
