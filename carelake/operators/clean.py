@@ -7,7 +7,6 @@ duplicate always beats an invalid one); the reject set keeps one exception
 row per (record, failed rule).
 """
 
-from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -215,13 +214,13 @@ def rejects(domain: str, prepared: DataFrame) -> DataFrame:
     return prepared.filter(F.size("_reasons") > 0).select("_raw_id", "_raw", "_reasons", "_source_file")
 
 
-def exceptions(domain: str, prepared: DataFrame, batch_id: Sequence[int] | int | None = None) -> DataFrame:
+def exceptions(domain: str, prepared: DataFrame, batch_id: int | None = None) -> DataFrame:
     """One exception row per (record, failed rule).
 
     ``exception_id`` is a surrogate hash, not a counter, so it can be computed
     on every executor without coordination and is stable under replay.
     """
-    bid = F.lit(batch_id if isinstance(batch_id, int) else None).cast("bigint")
+    bid = F.lit(batch_id).cast("bigint")
     # explode() of an empty reason list yields no row: no separate filter.
     r = prepared.select(
         F.lit(SOURCE_TABLE[domain]).alias("source_table"),

@@ -51,6 +51,15 @@ class Warehouse:
         lazy = {f"raw_{d}": (lambda b=b: b(spark, sf_dir)) for d, b in RAW_BUILDERS.items()}
         return cls(spark, lazy, **kw)
 
+    @classmethod
+    def from_landing(cls, spark: SparkSession, landing: str, **kw) -> Warehouse:
+        """RAW tables scanned directly from a CSV landing directory."""
+        from carelake.constants import DOMAINS
+        from carelake.sources.csv import read_landing
+
+        lazy = {f"raw_{d}": (lambda d=d: read_landing(spark, landing, d)) for d in DOMAINS}
+        return cls(spark, lazy, **kw)
+
     @classmethod
     def from_storage(cls, spark: SparkSession, root: str, names: Sequence[str] | None = None, **kw) -> Warehouse:
         """Tables previously written by :mod:`carelake.pipeline` under ``root``."""
