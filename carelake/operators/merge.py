@@ -47,8 +47,15 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return any(st.getPath().getName().startswith(BUCKET_COL + "=") for st in fs.listStatus(p))
 
 
+def _committed(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_SUCCESS")
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
 def merge_into_path(
-    spark: SparkSession, path: str, batch: DataFrame, key: str, n_buckets: int, sort_by: list[str] | None = None
+    spark: SparkSession, path: str, batch: DataFrame, key: str, n_buckets: int, sort_by: list[str] | None = None,
+    replaced_path: str | None = None,
 ) -> None:
     """MERGE ``batch`` into the bucketed parquet table at ``path``.
 
@@ -58,12 +65,19 @@ def merge_into_path(
     swapped at job commit, so a failed swap job can simply be re-run from the
     staged copy).  ``sort_by`` orders rows inside
     each bucket file (S14 clustering) so parquet min/max statistics prune.
+
+    ``replaced_path`` records the change set: the target rows this batch
+    replaces, as they were before the MERGE.  It is written once per batch
+    (a replay after a committed MERGE reuses it), so downstream incremental
+    aggregates can subtract exactly what was replaced.
     """
     order = [BUCKET_COL] + list(sort_by or [])
     src = batch.withColumn(BUCKET_COL, bucket_of(key, n_buckets))
     if "_cleaned_at" not in src.columns:
         src = src.withColumn("_cleaned_at", F.lit(None).cast("timestamp_ntz"))
     if not _exists(spark, path):
+        if replaced_path and not _committed(spark, replaced_path):
+            src.limit(0).write.mode("overwrite").parquet(replaced_path)
         first = src.withColumn("_cleaned_at", F.coalesce("_cleaned_at", F.localtimestamp()))
         (first.repartition(BUCKET_COL).sortWithinPartitions(*order)
          .write.mode("overwrite").partitionBy(BUCKET_COL).parquet(path))
@@ -75,6 +89,8 @@ def merge_into_path(
     if not touched:
         return
     affected = target.filter(F.col(BUCKET_COL).isin(touched))
+    if replaced_path and not _committed(spark, replaced_path):
+        affected.join(src.select(key), key, "left_semi").write.mode("overwrite").parquet(replaced_path)
     merged = upsert(affected, src.select(*target.columns), key)
     # Never overwrite a path from a plan that reads it: the merged buckets are
     # written to a staging table first (also the recovery point if an

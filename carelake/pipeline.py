@@ -28,8 +28,13 @@ MART_CLUSTER = {"fact_appointment": ["appt_date", "department"], "fact_billing":
 
 
 def ingest(spark: SparkSession, root: str, domain: str, landed: DataFrame, batch_id: int,
-           n_buckets: int = DEFAULT_BUCKETS) -> None:
-    """One load of one domain (the body of a cleaning task / micro-batch)."""
+           n_buckets: int = DEFAULT_BUCKETS, incremental: bool = False) -> None:
+    """One load of one domain (the body of a cleaning task / micro-batch).
+
+    With ``incremental`` the MERGE records the rows it replaces and the
+    additive MART aggregates absorb the batch as a delta
+    (:mod:`carelake.streaming.incremental`).
+    """
     write_raw(landed.withColumn("batch_id", F.lit(batch_id).cast("bigint")), root, domain)
     raw = spark.read.parquet(f"{root}/raw/{domain}").filter(F.col("batch_id") == batch_id)
     prepared = C.prepare(domain, raw)
@@ -40,7 +45,14 @@ def ingest(spark: SparkSession, root: str, domain: str, landed: DataFrame, batch
     write_partitioned(C.clean(domain, prepared).withColumn("batch_id", F.lit(batch_id).cast("bigint")),
                       staged, ["batch_id"])
     batch = spark.read.parquet(staged).filter(F.col("batch_id") == batch_id).drop("batch_id")
-    merge_into_path(spark, f"{root}/core/{domain}", batch, KEYS[domain], n_buckets, CORE_SORT[domain])
+    replaced = f"{root}/_changes/{domain}/batch_id={batch_id}" if incremental else None
+    merge_into_path(spark, f"{root}/core/{domain}", batch, KEYS[domain], n_buckets, CORE_SORT[domain], replaced)
+    if incremental:
+        from carelake.sources.sinks import committed
+        from carelake.streaming.incremental import apply_batch
+
+        old = spark.read.parquet(replaced) if committed(spark, replaced) else None
+        apply_batch(spark, root, domain, batch_id, batch, old)
 
 
 def _concurrently(tasks: dict[str, Callable[[], object]], workers: int) -> dict[str, object]:
@@ -54,11 +66,11 @@ def _concurrently(tasks: dict[str, Callable[[], object]], workers: int) -> dict[
 
 
 def ingest_all(spark: SparkSession, root: str, landed: dict[str, DataFrame], batch_id: int,
-               n_buckets: int = DEFAULT_BUCKETS, parallel: bool = True) -> None:
+               n_buckets: int = DEFAULT_BUCKETS, parallel: bool = True, incremental: bool = False) -> None:
     """Patients first (X14), then appointments and billing side by side."""
     if "patients" in landed:
-        ingest(spark, root, "patients", landed["patients"], batch_id, n_buckets)
-    rest = {d: (lambda d=d: ingest(spark, root, d, landed[d], batch_id, n_buckets))
+        ingest(spark, root, "patients", landed["patients"], batch_id, n_buckets, incremental)
+    rest = {d: (lambda d=d: ingest(spark, root, d, landed[d], batch_id, n_buckets, incremental))
             for d in DOMAINS if d != "patients" and d in landed}
     _concurrently(rest, 2 if parallel else 1)
 
@@ -82,7 +94,11 @@ def refresh_mart(spark: SparkSession, root: str, **wh_kw) -> dict[str, str]:
 
 
 def run_batch(spark: SparkSession, root: str, landed: dict[str, DataFrame], batch_id: int = 0,
-              n_buckets: int = DEFAULT_BUCKETS, **wh_kw) -> dict[str, str]:
-    """Full load: every domain merged into CORE, then the MART refreshed."""
-    ingest_all(spark, root, landed, batch_id, n_buckets)
+              n_buckets: int = DEFAULT_BUCKETS, incremental: bool = False, **wh_kw) -> dict[str, str]:
+    """Full load: every domain merged into CORE, then the MART refreshed.
+
+    With ``incremental`` the additive aggregates' state is also started, so
+    later loads can maintain them per batch instead of rebuilding.
+    """
+    ingest_all(spark, root, landed, batch_id, n_buckets, incremental=incremental)
     return refresh_mart(spark, root, **wh_kw)

@@ -26,11 +26,11 @@ from carelake.sources.csv import stream_landing
 
 def start_ingest(spark: SparkSession, landing: str, root: str, domain: str, *, checkpoint: str | None = None,
                  trigger: dict | None = None, n_buckets: int = DEFAULT_BUCKETS,
-                 max_files_per_trigger: int | None = None) -> StreamingQuery:
+                 max_files_per_trigger: int | None = None, incremental: bool = False) -> StreamingQuery:
     ckpt = checkpoint or f"{checkpoint_dir(spark)}/ingest/{domain}"
 
     def process(batch_df, batch_id: int) -> None:
-        ingest(batch_df.sparkSession, root, domain, batch_df, int(batch_id), n_buckets)
+        ingest(batch_df.sparkSession, root, domain, batch_df, int(batch_id), n_buckets, incremental)
 
     src = stream_landing(spark, landing, domain, max_files_per_trigger)
     return (src.writeStream.queryName(f"ingest_{domain}")
@@ -47,20 +47,25 @@ def _input_rows(progress) -> int:
 
 
 def run_available(spark: SparkSession, landing: str, root: str, *, checkpoint: str | None = None,
-                  refresh: bool = True, n_buckets: int = DEFAULT_BUCKETS, **wh_kw) -> dict[str, int]:
+                  refresh: bool | str = True, n_buckets: int = DEFAULT_BUCKETS, **wh_kw) -> dict[str, int]:
     """Process every pending file of every domain, then refresh the MART.
 
+    ``refresh``: True / "full" rebuilds every MART snapshot after the run;
+    "incremental" updates the additive aggregates inside each micro-batch
+    (dimensions and facts then resolve over CORE); False skips the refresh.
     Returns rows consumed per domain; when nothing was pending the MART is
     not refreshed (the has-data gate).
     """
+    incremental = refresh == "incremental"
     consumed: dict[str, int] = {}
     for d in DOMAINS:  # patients first
         q = start_ingest(spark, landing, root, d,
-                         checkpoint=None if checkpoint is None else f"{checkpoint}/{d}", n_buckets=n_buckets)
+                         checkpoint=None if checkpoint is None else f"{checkpoint}/{d}", n_buckets=n_buckets,
+                         incremental=incremental)
         q.awaitTermination()
         if q.exception() is not None:
             raise q.exception()
         consumed[d] = sum(_input_rows(p) for p in q.recentProgress)
-    if refresh and any(consumed.values()):
+    if refresh and not incremental and any(consumed.values()):
         refresh_mart(spark, root, **wh_kw)
     return consumed
