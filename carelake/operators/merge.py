@@ -47,6 +47,30 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return any(st.getPath().getName().startswith(BUCKET_COL + "=") for st in fs.listStatus(p))
 
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def stored_bucket_count(spark: SparkSession, path: str) -> int | None:
+    """Bucket count fixed when the table was created (``_n_buckets=N`` marker;
+    names starting with '_' are invisible to the parquet reader)."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    for st in fs.listStatus(p):
+        n = st.getPath().getName()
+        if n.startswith("_n_buckets="):
+            return int(n.split("=", 1)[1])
+    return None
+
+
+def _record_bucket_count(spark: SparkSession, path: str, n_buckets: int) -> None:
+    fs, p = _fs(spark, f"{path.rstrip('/')}/_n_buckets={n_buckets}")
+    fs.mkdirs(p)
+
+
 def _committed(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_SUCCESS")
@@ -72,6 +96,9 @@ def merge_into_path(
     aggregates can subtract exactly what was replaced.
     """
     order = [BUCKET_COL] + list(sort_by or [])
+    # A key must always hash to the same bucket: an existing table keeps the
+    # bucket count it was created with, whatever the caller passes.
+    n_buckets = stored_bucket_count(spark, path) or n_buckets
     src = batch.withColumn(BUCKET_COL, bucket_of(key, n_buckets))
     if "_cleaned_at" not in src.columns:
         src = src.withColumn("_cleaned_at", F.lit(None).cast("timestamp_ntz"))
@@ -81,6 +108,7 @@ def merge_into_path(
         first = src.withColumn("_cleaned_at", F.coalesce("_cleaned_at", F.localtimestamp()))
         (first.repartition(BUCKET_COL).sortWithinPartitions(*order)
          .write.mode("overwrite").partitionBy(BUCKET_COL).parquet(path))
+        _record_bucket_count(spark, path, n_buckets)
         return
     target = spark.read.parquet(path)
     # The touched buckets are at most ``n_buckets`` small ints: a static
