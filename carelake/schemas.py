@@ -7,7 +7,6 @@ from pyspark.sql.types import (
     StringType,
     StructField,
     StructType,
-    TimestampNTZType,
 )
 
 MONEY = DecimalType(12, 2)
@@ -30,20 +29,11 @@ RAW_COLUMNS = {
 
 KEYS = {"patients": "patient_id", "appointments": "appt_id", "billing": "bill_id"}
 
-# Audit columns carried from landing to CORE.
-AUDIT_COLUMNS = ["_loaded_at", "_source_file"]
-
-
 def raw_schema(domain: str) -> StructType:
     """CSV read schema: business columns only, every field a string."""
     return StructType([StructField(c, StringType(), True) for c in RAW_COLUMNS[domain]])
 
 
-RAW_AUDIT_FIELDS = [
-    StructField("_loaded_at", TimestampNTZType(), True),
-    StructField("_source_file", StringType(), True),
-]
-
 CORE_SCHEMAS = {
     "patients": StructType([
         StructField("patient_id", LongType(), False),
@@ -81,14 +71,3 @@ CORE_SCHEMAS = {
         StructField("insurer_name", StringType(), True),
     ]),
 }
-
-CORE_AUDIT_FIELDS = [
-    StructField("_loaded_at", TimestampNTZType(), True),
-    StructField("_source_file", StringType(), True),
-    StructField("_cleaned_at", TimestampNTZType(), True),
-]
-
-EXCEPTIONS_COLUMNS = [
-    "exception_id", "source_table", "record_id", "rejection_reason",
-    "record_data", "rejected_at", "reviewed", "batch_id",
-]

@@ -24,3 +24,19 @@ def test_masked_viewer_collapses_vip_groups(wh_small):
     assert [r.full_name for r in masked] == ["****"]
     assert masked[0].visits == wh_small.table("fact_billing").join(
         wh_small.table("dim_patient"), "patient_key").count()
+
+
+def test_attach_and_detach_policy(wh_small):
+    from pyspark.sql import functions as F
+
+    from carelake.functions.masking import mask_name
+    from carelake.plans import masking
+
+    masking.attach("dim_doctor", "doctor_name", mask_name)
+    try:
+        names = {r.doctor_name for r in wh_small.with_role("PUBLIC").table("dim_doctor").collect()}
+        assert names == {"****"}
+    finally:
+        masking.detach("dim_doctor", "doctor_name")
+    clear = wh_small.with_role("PUBLIC").table("dim_doctor").filter(F.col("doctor_name") == "****").count()
+    assert clear == 0
