@@ -75,8 +75,11 @@ def ingest_all(spark: SparkSession, root: str, landed: dict[str, DataFrame], bat
     _concurrently(rest, 2 if parallel else 1)
 
 
-def refresh_mart(spark: SparkSession, root: str, **wh_kw) -> dict[str, str]:
-    """Rebuild every MART snapshot from stored CORE, level by level."""
+def refresh_mart(spark: SparkSession, root: str, skip: tuple[str, ...] = (), **wh_kw) -> dict[str, str]:
+    """Rebuild every MART snapshot from stored CORE, level by level.
+
+    ``skip`` names tables kept current elsewhere (the incremental aggregates).
+    """
     from carelake.warehouse import Warehouse
 
     workers = wh_kw.pop("parallel_jobs", 4)
@@ -87,9 +90,10 @@ def refresh_mart(spark: SparkSession, root: str, **wh_kw) -> dict[str, str]:
         {n: (lambda n=n: write_snapshot(spark, level1[n], root, n, MART_CLUSTER.get(n))) for n in MART_LEVEL1},
         workers)
     wh2 = Warehouse.from_storage(spark, root, core_names + MART_LEVEL1, **wh_kw)
-    level2 = {n: wh2.resolve(n) for n in MART_LEVEL2}
+    names2 = [n for n in MART_LEVEL2 if n not in skip]
+    level2 = {n: wh2.resolve(n) for n in names2}
     written.update(_concurrently(
-        {n: (lambda n=n: write_snapshot(spark, level2[n], root, n)) for n in MART_LEVEL2}, workers))
+        {n: (lambda n=n: write_snapshot(spark, level2[n], root, n)) for n in names2}, workers))
     return written
 
 
@@ -101,4 +105,9 @@ def run_batch(spark: SparkSession, root: str, landed: dict[str, DataFrame], batc
     later loads can maintain them per batch instead of rebuilding.
     """
     ingest_all(spark, root, landed, batch_id, n_buckets, incremental=incremental)
-    return refresh_mart(spark, root, **wh_kw)
+    skip: tuple[str, ...] = ()
+    if incremental:
+        from carelake.streaming.incremental import SPECS
+
+        skip = tuple(SPECS)  # published by the incremental state just started
+    return refresh_mart(spark, root, skip=skip, **wh_kw)

@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from carelake.plans.catalog import MERGE_SPLITS, catalog
@@ -68,14 +70,16 @@ def test_stream_two_loads_equals_batch_merge(spark, wh_small, tmp_path):
         assert _rows(after.table(f"core_{d}"), want.columns) == _rows(want, want.columns), d
 
 
-def test_batch_pipeline_matches_lazy_marts(spark, wh_small, tmp_path):
+@pytest.mark.parametrize("incremental", [False, True])
+def test_batch_pipeline_matches_lazy_marts(spark, wh_small, tmp_path, incremental):
     from carelake.pipeline import run_batch
 
     root = str(tmp_path / "wh")
     raws = {d: wh_small.resolve(f"raw_{d}") for d in DOMAINS}
-    run_batch(spark, root, raws, batch_id=0, n_buckets=4)
+    run_batch(spark, root, raws, batch_id=0, n_buckets=4, incremental=incremental)
     stored = Warehouse.from_storage(spark, root)
-    for name in ("fact_billing", "dim_patient", "dim_doctor", "mv_monthly_revenue", "dt_dept_appt"):
+    for name in ("fact_billing", "dim_patient", "dim_doctor", "mv_monthly_revenue", "dt_dept_appt",
+                 "dt_demographics", "dim_date", "dt_monthly_revenue"):
         cols = [c for c in wh_small.table(name).columns]
         assert _rows(stored.table(name), cols) == _rows(wh_small.table(name), cols), name
 
