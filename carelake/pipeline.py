@@ -3,8 +3,10 @@
 Each load writes RAW first and re-reads it from storage, so the landed rows
 are the lineage cut for the rest of the batch (a lost executor recomputes
 from parquet, never from the original files).  Patients are merged before
-appointments and billing (X14).  The MART refresh runs in dependency order:
-dimensions and facts from CORE, then the second level from the stored facts.
+appointments and billing (X14).  The MART refresh writes every computed
+table from the stored CORE; facts and the patient dimension are projections
+of CORE resolved at read time (CORE is clustered by date and department
+inside each bucket, so their date filters prune).
 """
 
 from __future__ import annotations
@@ -18,13 +20,12 @@ from pyspark.sql import functions as F
 from carelake.constants import DOMAINS
 from carelake.operators import clean as C
 from carelake.operators.merge import merge_into_path
-from carelake.plans.registry import MART_LEVEL1, MART_LEVEL2
+from carelake.plans.registry import MART_SNAPSHOTS
 from carelake.schemas import KEYS
 from carelake.sources.sinks import write_exceptions, write_partitioned, write_raw, write_snapshot
 
 DEFAULT_BUCKETS = 16
 CORE_SORT = {"patients": [], "appointments": ["appt_date", "department"], "billing": ["bill_date", "department"]}
-MART_CLUSTER = {"fact_appointment": ["appt_date", "department"], "fact_billing": ["bill_date", "department"]}
 
 
 def ingest(spark: SparkSession, root: str, domain: str, landed: DataFrame, batch_id: int,
@@ -76,25 +77,19 @@ def ingest_all(spark: SparkSession, root: str, landed: dict[str, DataFrame], bat
 
 
 def refresh_mart(spark: SparkSession, root: str, skip: tuple[str, ...] = (), **wh_kw) -> dict[str, str]:
-    """Rebuild every MART snapshot from stored CORE, level by level.
+    """Rebuild the MART snapshots from stored CORE (T6), as concurrent jobs.
 
-    ``skip`` names tables kept current elsewhere (the incremental aggregates).
+    Facts and ``dim_patient`` are projections resolved over CORE at read time,
+    so they are never stale.  ``skip`` names tables kept current elsewhere
+    (the incremental aggregates).
     """
     from carelake.warehouse import Warehouse
 
     workers = wh_kw.pop("parallel_jobs", 4)
-    core_names = [f"core_{d}" for d in DOMAINS]
-    wh = Warehouse.from_storage(spark, root, core_names, **wh_kw)
-    level1 = {n: wh.resolve(n) for n in MART_LEVEL1}  # plans built on the driver thread
-    written = _concurrently(
-        {n: (lambda n=n: write_snapshot(spark, level1[n], root, n, MART_CLUSTER.get(n))) for n in MART_LEVEL1},
-        workers)
-    wh2 = Warehouse.from_storage(spark, root, core_names + MART_LEVEL1, **wh_kw)
-    names2 = [n for n in MART_LEVEL2 if n not in skip]
-    level2 = {n: wh2.resolve(n) for n in names2}
-    written.update(_concurrently(
-        {n: (lambda n=n: write_snapshot(spark, level2[n], root, n)) for n in names2}, workers))
-    return written
+    wh = Warehouse.from_storage(spark, root, [f"core_{d}" for d in DOMAINS], **wh_kw)
+    names = [n for n in MART_SNAPSHOTS if n not in skip]
+    plans = {n: wh.resolve(n) for n in names}  # plans built on the driver thread
+    return _concurrently({n: (lambda n=n: write_snapshot(spark, plans[n], root, n)) for n in names}, workers)
 
 
 def run_batch(spark: SparkSession, root: str, landed: dict[str, DataFrame], batch_id: int = 0,

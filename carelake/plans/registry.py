@@ -26,10 +26,13 @@ for _f in (views.vw_patient_utilization, views.vw_daily_opd_trend, views.vw_doct
            views.vw_insurance_mix):
     BUILDERS[_f.__name__] = _f
 
-# Refresh DAG order for materialisation (E2): level 1 then level 2.
-MART_LEVEL1 = ["dim_patient", "dim_doctor", "fact_appointment", "fact_billing"]
-MART_LEVEL2 = [
-    "dim_date", "dim_service", "dim_department",
+# Materialisation (E2).  The facts and the patient dimension are row-for-row
+# projections of CORE: they are always resolved over the stored CORE (a copy
+# would double the storage and go stale between refreshes).  Everything that
+# needs computation is written as a snapshot; all of it reads CORE only.
+MART_PROJECTIONS = ["dim_patient", "fact_appointment", "fact_billing"]
+MART_SNAPSHOTS = [
+    "dim_doctor", "dim_date", "dim_service", "dim_department",
     "dt_dept_appt", "dt_payment_revenue", "dt_monthly_revenue", "dt_demographics",
     "dt_appt_status", "dt_top_doctors", "mv_monthly_revenue", "mv_dept_appt_monthly",
 ]
