@@ -11,13 +11,12 @@ inside each bucket, so their date filters prune).
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelake.constants import DOMAINS
+from carelake.jobs import run_concurrently
 from carelake.operators import clean as C
 from carelake.operators.merge import merge_into_path
 from carelake.plans.registry import MART_SNAPSHOTS
@@ -56,16 +55,6 @@ def ingest(spark: SparkSession, root: str, domain: str, landed: DataFrame, batch
         apply_batch(spark, root, domain, batch_id, batch, old)
 
 
-def _concurrently(tasks: dict[str, Callable[[], object]], workers: int) -> dict[str, object]:
-    """Submit independent Spark jobs from driver threads so their tasks share
-    the executors (Spark schedules concurrent jobs of one application)."""
-    if workers <= 1 or len(tasks) <= 1:
-        return {k: f() for k, f in tasks.items()}
-    with ThreadPoolExecutor(max_workers=min(workers, len(tasks))) as pool:
-        futures = {k: pool.submit(f) for k, f in tasks.items()}
-        return {k: fut.result() for k, fut in futures.items()}
-
-
 def ingest_all(spark: SparkSession, root: str, landed: dict[str, DataFrame], batch_id: int,
                n_buckets: int = DEFAULT_BUCKETS, parallel: bool = True, incremental: bool = False) -> None:
     """Patients first (X14), then appointments and billing side by side."""
@@ -73,7 +62,7 @@ def ingest_all(spark: SparkSession, root: str, landed: dict[str, DataFrame], bat
         ingest(spark, root, "patients", landed["patients"], batch_id, n_buckets, incremental)
     rest = {d: (lambda d=d: ingest(spark, root, d, landed[d], batch_id, n_buckets, incremental))
             for d in DOMAINS if d != "patients" and d in landed}
-    _concurrently(rest, 2 if parallel else 1)
+    run_concurrently(rest, 2 if parallel else 1)
 
 
 def refresh_mart(spark: SparkSession, root: str, skip: tuple[str, ...] = (), **wh_kw) -> dict[str, str]:
@@ -89,7 +78,7 @@ def refresh_mart(spark: SparkSession, root: str, skip: tuple[str, ...] = (), **w
     wh = Warehouse.from_storage(spark, root, [f"core_{d}" for d in DOMAINS], **wh_kw)
     names = [n for n in MART_SNAPSHOTS if n not in skip]
     plans = {n: wh.resolve(n) for n in names}  # plans built on the driver thread
-    return _concurrently({n: (lambda n=n: write_snapshot(spark, plans[n], root, n)) for n in names}, workers)
+    return run_concurrently({n: (lambda n=n: write_snapshot(spark, plans[n], root, n)) for n in names}, workers)
 
 
 def run_batch(spark: SparkSession, root: str, landed: dict[str, DataFrame], batch_id: int = 0,

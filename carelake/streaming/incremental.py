@@ -37,7 +37,6 @@ class Additive:
     measures: list[tuple[str, Callable[[], Column], str]]  # (alias, per-row value, result type)
     where: Callable[[], Column] | None = None
     derived: list[tuple[str, Callable[[], Column]]] = field(default_factory=list)
-    order: list[str] = field(default_factory=list)  # published column order
 
 
 def _c(name: str) -> Callable[[], Column]:
@@ -140,12 +139,13 @@ def latest_state(spark: SparkSession, root: str, name: str) -> tuple[int, str] |
 
 def apply_batch(spark: SparkSession, root: str, domain: str, batch_id: int,
                 new_rows: DataFrame, replaced_rows: DataFrame | None) -> dict[str, str]:
-    """Absorb one merged batch into every additive aggregate of ``domain``."""
-    out = {}
-    for name, spec in specs_for(domain).items():
-        latest = latest_state(spark, root, name)
-        if latest is not None and latest[0] >= batch_id:
-            continue  # replay of an absorbed batch
+    """Absorb one merged batch into every additive aggregate of ``domain``.
+
+    The aggregates are independent; their jobs are submitted side by side.
+    """
+    from carelake.jobs import run_concurrently
+
+    def absorb(name: str, spec: Additive, latest: tuple[int, str] | None) -> str:
         if latest is None:
             # First use: build the state from the stored CORE (already merged).
             core = spark.read.parquet(f"{root}/core/{domain}")
@@ -157,5 +157,12 @@ def apply_batch(spark: SparkSession, root: str, domain: str, batch_id: int,
             state = fold(spec, parts)
         path = f"{_state_root(root, name)}/b={batch_id}"
         state.write.mode("overwrite").parquet(path)
-        out[name] = write_snapshot(spark, publish_view(spec, spark.read.parquet(path)), root, name)
-    return out
+        return write_snapshot(spark, publish_view(spec, spark.read.parquet(path)), root, name)
+
+    tasks = {}
+    for name, spec in specs_for(domain).items():
+        latest = latest_state(spark, root, name)
+        if latest is not None and latest[0] >= batch_id:
+            continue  # replay of an absorbed batch
+        tasks[name] = (lambda n=name, s=spec, lt=latest: absorb(n, s, lt))
+    return run_concurrently(tasks, 4)
