@@ -38,12 +38,16 @@ def ingest(spark: SparkSession, root: str, domain: str, landed: DataFrame, batch
     write_raw(landed.withColumn("batch_id", F.lit(batch_id).cast("bigint")), root, domain)
     raw = spark.read.parquet(f"{root}/raw/{domain}").filter(F.col("batch_id") == batch_id)
     prepared = C.prepare(domain, raw)
-    write_exceptions(C.exceptions(domain, prepared, batch_id), root)
-    # Stage the deduplicated batch: the MERGE reads it twice (bucket list,
-    # upsert), and a staged copy is also the recovery point on executor loss.
+    # Exceptions and the deduplicated batch both derive from the landed rows
+    # and do not depend on each other: two jobs side by side.  The staged
+    # batch is read twice by the MERGE (bucket list, upsert) and is also the
+    # recovery point if an executor is lost.
     staged = f"{root}/_staging/{domain}"
-    write_partitioned(C.clean(domain, prepared).withColumn("batch_id", F.lit(batch_id).cast("bigint")),
-                      staged, ["batch_id"])
+    run_concurrently({
+        "exceptions": lambda: write_exceptions(C.exceptions(domain, prepared, batch_id), root),
+        "stage": lambda: write_partitioned(
+            C.clean(domain, prepared).withColumn("batch_id", F.lit(batch_id).cast("bigint")), staged, ["batch_id"]),
+    }, 2)
     batch = spark.read.parquet(staged).filter(F.col("batch_id") == batch_id).drop("batch_id")
     replaced = f"{root}/_changes/{domain}/batch_id={batch_id}" if incremental else None
     merge_into_path(spark, f"{root}/core/{domain}", batch, KEYS[domain], n_buckets, CORE_SORT[domain], replaced)
