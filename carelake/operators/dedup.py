@@ -12,7 +12,17 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, DecimalType, NumericType, TimestampNTZType, TimestampType
+from pyspark.sql.types import (
+    ByteType,
+    DateType,
+    DecimalType,
+    IntegerType,
+    LongType,
+    NumericType,
+    ShortType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 
 @dataclass(frozen=True)
@@ -55,31 +65,48 @@ def _ascending_image(df: DataFrame, o: Order) -> Column:
     raise TypeError(f"descending order on {t} is not supported for {o.column}")
 
 
+def _original_from_image(df: DataFrame, o: Order, image: Column) -> Column | None:
+    """The ordered column recovered from its ascending image, when exact."""
+    if not o.descending:
+        return image
+    t = df.schema[o.column].dataType
+    if isinstance(t, DateType):
+        return F.date_from_unix_date(-image)
+    if isinstance(t, (DecimalType, ByteType, ShortType, IntegerType, LongType)):
+        return (-image).cast(t)
+    return None  # floating point / timestamps: carry the original value
+
+
 def first_per_key(df: DataFrame, key: str, order: Sequence[Order]) -> DataFrame:
     """Rows of ``df`` reduced to one per ``key``: the first under ``order``.
 
     Ties on every ordering term fall back to the remaining columns in schema
     order, so the result is deterministic whatever the input partitioning.
+
+    The struct is kept narrow because it is what the shuffle carries: a
+    NULL field sorts first under ``min``, so a null-placement flag is added
+    only for NULLS LAST terms, and the original value is carried only when it
+    cannot be recovered exactly from its ascending image.
     """
     ordered = {o.column for o in order}
     payload = [c for c in df.columns if c != key and c not in ordered]
     fields = []
+    restore: dict[str, Column] = {}
     for i, o in enumerate(order):
-        missing = F.col(o.column).isNotNull() if o.nulls_first else F.col(o.column).isNull()
-        fields.append(missing.alias(f"_n{i}"))
+        if not o.nulls_first:
+            fields.append(F.col(o.column).isNull().alias(f"_n{i}"))
         fields.append(_ascending_image(df, o).alias(f"_o{i}"))
-    fields += [F.col(o.column).alias(f"_v{i}") for i, o in enumerate(order)]
+        back = _original_from_image(df, o, F.col(f"_best._o{i}"))
+        if back is None:
+            fields.append(F.col(o.column).alias(f"_v{i}"))
+            back = F.col(f"_best._v{i}")
+        restore[o.column] = back
     fields += [F.col(c).alias(c) for c in payload]
     best = df.groupBy(key).agg(F.min(F.struct(*fields)).alias("_best"))
     out = [F.col(key)]
     for c in df.columns:
-        if c == key:
-            continue
-        if c in ordered:
-            i = next(j for j, o in enumerate(order) if o.column == c)
-            out.append(F.col(f"_best._v{i}").alias(c))
-        else:
-            out.append(F.col(f"_best.{c}").alias(c))
+        if c != key:
+            out.append((restore[c] if c in ordered else F.col(f"_best.{c}")).alias(c))
     return best.select(*out)
 
 
