@@ -73,5 +73,55 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_bitmaps(docs).mapInArrow(digest, "doc_id long, n_lines long, n_dropped long, kept_sha256 string")
 
 
+def op6_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from carelake.llm.pseudo_likelihood import score, train
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score(docs, *train(docs))
+
+
+def op7_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from carelake.llm.quality_gam import score, train
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    model = train(docs.where(~held_out), _table(spark, sf_dir, "labels"))
+    return score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from carelake.llm.vp_tree import nearest
+
+    return nearest(_table(spark, sf_dir, "embeddings"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from carelake.llm.language_id import predict, train, vocabulary
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    pieces = vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    langs, p = train(docs.where(~held_out), pieces)
+    return predict(docs, pieces, langs, p).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from carelake.llm.pii import KINDS, find, train
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    joined = lambda c: F.concat_ws(
+        ",", F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
+    )
+    count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
+    return find(docs, train(docs)).select(
+        "doc_id",
+        *(count(k) for k in KINDS),
+        F.sha2(joined("base"), 256).alias("base_sha256"),
+        joined("spans").alias("spans"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
