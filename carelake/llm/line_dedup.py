@@ -177,7 +177,8 @@ def with_bitmaps(docs: DataFrame) -> DataFrame:
     doc_id with other text count as the same document but have their own bitmap.  Null or empty text is one empty
     line, which is too short to be dropped.  Empty table: no rows.
     """
-    maps = materialize(keep_bitmaps(docs), "bitmaps").alias("b")
+    # merged at every size: what is lost grows with the documents, so nothing bounds a broadcast of it
+    maps = materialize(keep_bitmaps(docs), "bitmaps").hint("merge").alias("b")
     d = docs.alias("d")
     same = (F.coalesce(F.col("d.doc_id").cast("long"), F.lit(_NULL_ID)) == F.col("b.doc")) & (
         text_key(F.col("d.text")) == F.col("b.tkey")
