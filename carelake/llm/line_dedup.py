@@ -85,6 +85,7 @@ def dropped_lines(lines: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     if min_docs != MIN_DOCS:
         raise ValueError(f"min_docs is fixed at {MIN_DOCS}")
     order = [F.col("k1").asc(), F.col("k2").asc(), F.col("doc").desc(), F.col("pos").asc()]
+    lines = materialize(lines, "lines")  # the range sampling reads them once more
     ranged = checkpointed(lines.repartitionByRange(*order).sortWithinPartitions(*order).select("k1", "k2", "doc", "tkey", "pos"))
     edges = ranged.select("k1", "k2", "doc").mapInArrow(_edges, "k1 long, k2 long, docs array<long>")
     settled: dict[tuple[int, int], list[int]] = {}
