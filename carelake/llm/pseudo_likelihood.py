@@ -28,7 +28,7 @@ VOCABULARY = CLASSES * PER_CLASS
 SIDE, HIDDEN = 2, 16
 ROUNDS, STEP, RATE = 2, 4096, 0.05
 #: Words in a matrix at once when scoring.
-SCORE_STEP = 1 << 16
+SCORE_STEP = 1 << 14
 FLUSH = 200_000
 _EDGE = VOCABULARY
 
@@ -109,32 +109,46 @@ def contexts(ids: np.ndarray) -> np.ndarray:
 
 
 def _softmax(a):
-    a = np.exp(a - a.max(axis=1, keepdims=True))
-    return a / a.sum(axis=1, keepdims=True)
+    """Of columns, in place; columns are short and rows long, which keeps each operation one run through memory."""
+    a -= a.max(axis=0)
+    np.exp(a, out=a)
+    a /= a.sum(axis=0)
+    return a
+
+
+def _log_softmax_at(a, row):
+    """Of each column the log-probability of the given row."""
+    a -= a.max(axis=0)
+    out = a[row, np.arange(a.shape[1])]
+    np.exp(a, out=a)
+    return out - np.log(a.sum(axis=0))
 
 
 def _hidden(w, ctx):
-    h = w["embed"][0][ctx[0]].copy()
+    h = np.take(w["embed"][0], ctx[0], axis=0, mode="clip")
     for d in range(1, 2 * SIDE):
-        h += w["embed"][d][ctx[d]]
-    return np.tanh(h + w["hidden"])
+        h += np.take(w["embed"][d], ctx[d], axis=0, mode="clip")
+    h += w["hidden"]
+    return np.tanh(h, out=h)
+
+
+def _by_class(cls: np.ndarray):
+    """Yields (class, places of its words)."""
+    order = np.argsort(cls.astype(np.uint8), kind="stable")
+    ends = np.cumsum(np.bincount(cls, minlength=CLASSES))
+    for c, (s, e) in enumerate(zip([0, *ends], ends)):
+        if s < e:
+            yield c, order[s:e]
 
 
 def log_probabilities(w: dict[str, np.ndarray], ctx: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """Conditional log-probability of each word."""
     h = _hidden(w, ctx)
     cls, of = ids // PER_CLASS, ids % PER_CLASS
-    a = h @ w["classes"] + w["class_bias"]
-    m = a.max(axis=1)
-    out = a[np.arange(len(ids)), cls] - m - np.log(np.exp(a - m[:, None]).sum(axis=1))
-    order = np.argsort(cls, kind="stable")
-    ends = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-    for c in range(CLASSES):
-        some = order[ends[c] : ends[c + 1]]
-        if len(some):
-            a = h[some] @ w["words"][c] + w["word_bias"][c]
-            m = a.max(axis=1)
-            out[some] += a[np.arange(len(some)), of[some]] - m - np.log(np.exp(a - m[:, None]).sum(axis=1))
+    out = _log_softmax_at(w["classes"].T @ h.T + w["class_bias"][:, None], cls)
+    for c, some in _by_class(cls):
+        a = w["words"][c].T @ np.take(h, some, axis=0).T + w["word_bias"][c][:, None]
+        out[some] += _log_softmax_at(a, of[some])
     return out
 
 
@@ -155,19 +169,16 @@ class Trainer:
         self.words += n
         h = _hidden(w, ctx)
         cls, of = ids // PER_CLASS, ids % PER_CLASS
-        p = _softmax(h @ w["classes"] + w["class_bias"])
-        p[np.arange(n), cls] -= 1
-        dh = p @ w["classes"].T
-        push = [("classes", h.T @ p / n, ...), ("class_bias", p.sum(0) / n, ...)]
-        order = np.argsort(cls, kind="stable")
-        ends = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-        for c in range(CLASSES):
-            some = order[ends[c] : ends[c + 1]]
-            if len(some):
-                q = _softmax(h[some] @ w["words"][c] + w["word_bias"][c])
-                q[np.arange(len(some)), of[some]] -= 1
-                dh[some] += q @ w["words"][c].T
-                push += [("words", h[some].T @ q / n, c), ("word_bias", q.sum(0) / n, c)]
+        p = _softmax(w["classes"].T @ h.T + w["class_bias"][:, None])
+        p[cls, np.arange(n)] -= 1
+        dh = p.T @ w["classes"].T
+        push = [("classes", (p @ h).T / n, ...), ("class_bias", p.sum(1) / n, ...)]
+        for c, some in _by_class(cls):
+            part = np.take(h, some, axis=0)
+            q = _softmax(w["words"][c].T @ part.T + w["word_bias"][c][:, None])
+            q[of[some], np.arange(len(some))] -= 1
+            dh[some] += q.T @ w["words"][c].T
+            push += [("words", (q @ part).T / n, c), ("word_bias", q.sum(1) / n, c)]
         dh *= 1 - h * h
         push.append(("hidden", dh.sum(0) / n, ...))
         columns = np.arange(HIDDEN)
