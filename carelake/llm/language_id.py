@@ -28,7 +28,7 @@ MAX_WORD = 24
 #: Probability of a letter that no piece covers, and count added to each piece.
 UNKNOWN, SMOOTH = 1e-7, 0.05
 #: Distinct words a worker remembers.
-MEMO = 200_000
+MEMO = 400_000
 #: Distinct words counted together before they are passed on.
 FLUSH = 200_000
 _START = "▁"
@@ -58,59 +58,62 @@ def word_parts(run: str) -> list[str]:
 
 
 class Lattice:
-    """Pieces as hashes by length, to look up all substrings of many words at once."""
+    """All prefixes of the pieces as 64-bit hashes by length, to follow the pieces in many words at once.  (Two strings
+    of one hash would share a probability; at 64 bits that is not seen in practice.)"""
 
     def __init__(self, pieces: list[str]):
         self.size = len(pieces)
-        self.by_length = {}
-        rows: dict[int, list[int]] = {}
+        prefixes: dict[int, dict[str, int]] = {}
         for i, p in enumerate(pieces):
-            rows.setdefault(len(p), []).append(i)
-        for m, ids in rows.items():
-            codes = np.array([[ord(c) for c in pieces[i]] for i in ids], np.uint64)
-            h = self._hash(codes)
+            for m in range(1, len(p) + 1):
+                prefixes.setdefault(m, {}).setdefault(p[:m], -1)
+            prefixes[len(p)][p] = i
+        self.by_length = []
+        for m in sorted(prefixes):
+            codes = self.codes(list(prefixes[m]))
+            h = np.zeros(len(codes), np.uint64)
+            for j in range(m):
+                h = self._extend(h, codes[:, j])
             order = np.argsort(h)
-            self.by_length[m] = (h[order], np.array(ids)[order], codes[order])
+            self.by_length.append((h[order], np.array(list(prefixes[m].values()))[order]))
 
     @staticmethod
-    def _hash(codes: np.ndarray) -> np.ndarray:
-        h = np.zeros(len(codes), np.uint64)
-        for j in range(codes.shape[1]):
-            h = (h ^ codes[:, j]) * np.uint64(0x9E3779B97F4A7C15)
-            h ^= h >> np.uint64(29)
-        return h
-
-    def arcs(self, words: list[str]):
-        """For words of one length: yields (start, end, piece of each word or -1), by end, then start."""
-        codes = np.array([[ord(c) for c in w] for w in words], np.uint64)
-        n = codes.shape[1]
-        for end in range(1, n + 1):
-            for m, (hashes, ids, known) in self.by_length.items():
-                if m <= end:
-                    part = codes[:, end - m : end]
-                    h = self._hash(part)
-                    at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
-                    same = (hashes[at] == h) & (known[at] == part).all(axis=1)
-                    if same.any():
-                        yield end - m, end, np.where(same, ids[at], -1)
+    def codes(words: list[str]) -> np.ndarray:
+        """Code points of words of one length, a row for each."""
+        return np.frombuffer("".join(words).encode("utf-32-le"), "<u4").reshape(len(words), -1).astype(np.uint64)
+
+    @staticmethod
+    def _extend(h: np.ndarray, c: np.ndarray) -> np.ndarray:
+        h = (h ^ c) * np.uint64(0x9E3779B97F4A7C15)
+        return h ^ (h >> np.uint64(29))
+
+    def arcs(self, codes: np.ndarray, start: int):
+        """Pieces that start at a place: yields (end, rows of the words, piece of each)."""
+        rows, h = np.arange(len(codes)), np.zeros(len(codes), np.uint64)
+        for m, (hashes, ids) in enumerate(self.by_length[: codes.shape[1] - start]):
+            h = self._extend(h, codes[rows, start + m])
+            at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
+            alive = hashes[at] == h
+            rows, h, at = rows[alive], h[alive], at[alive]
+            if not len(rows):
+                return
+            found = ids[at]
+            whole = found >= 0
+            if whole.any():
+                yield start + m + 1, rows[whole], found[whole]
 
     def forward(self, words: list[str], p: np.ndarray, keep: list | None = None) -> np.ndarray:
         """alpha[place][word, language]: summed probability of all segmentations up to a place."""
-        n = len(words[0])
+        codes = self.codes(words)
+        n = codes.shape[1]
         alpha = np.zeros((n + 1, len(words), p.shape[1]))
         alpha[0] = 1.0
-        padded = np.vstack((p, np.zeros((1, p.shape[1]))))
-        done = 0
-        for s, e, ids in self.arcs(words):
-            while done < e - 1:  # every piece that ends earlier is in: add the letter that no piece covers
-                done += 1
-                alpha[done] += alpha[done - 1] * UNKNOWN
-            alpha[e] += alpha[s] * padded[ids]
-            if keep is not None:
-                keep.append((s, e, ids))
-        while done < n:
-            done += 1
-            alpha[done] += alpha[done - 1] * UNKNOWN
+        for s in range(n):
+            alpha[s + 1] += alpha[s] * UNKNOWN  # the letter that no piece covers
+            for e, rows, ids in self.arcs(codes, s):
+                alpha[e][rows] += alpha[s][rows] * p[ids]
+                if keep is not None:
+                    keep.append((s, e, rows, ids))
         return alpha
 
     def expected(self, words: list[str], counts: np.ndarray, p: np.ndarray) -> np.ndarray:
@@ -120,19 +123,18 @@ class Lattice:
         n = len(words[0])
         beta = np.zeros_like(alpha)
         beta[n] = 1.0
-        padded = np.append(p[:, 0], 0.0)
-        out = np.zeros(self.size + 1)
+        out = np.zeros(self.size)
         weight = counts / alpha[n]
         by_start: dict[int, list] = {}
-        for s, e, ids in arcs:
-            by_start.setdefault(s, []).append((e, ids))
+        for s, *arc in arcs:
+            by_start.setdefault(s, []).append(arc)
         for s in range(n - 1, -1, -1):
             beta[s] += beta[s + 1] * UNKNOWN
-            for e, ids in by_start.get(s, ()):
-                through = padded[ids] * beta[e]
-                beta[s] += through
-                out += np.bincount(np.where(ids < 0, self.size, ids), through * alpha[s] * weight, self.size + 1)
-        return out[:-1]
+            for e, rows, ids in by_start.get(s, ()):
+                through = p[ids, 0] * beta[e][rows]
+                beta[s][rows] += through
+                out += np.bincount(ids, through * (alpha[s] * weight)[rows], self.size)
+        return out
 
 
 def _by_length(words):
@@ -257,8 +259,7 @@ def predict(docs: DataFrame, pieces: list[str], langs: list[str], p: np.ndarray)
                     scores.learn(set().union(*texts))
                 names, values = [], []
                 for words in texts:
-                    words = [w for w in words if w.isalpha() or any(map(str.isalpha, w))]
-                    if not words or scores is None:
+                    if scores is None or not any(w.isalpha() or any(map(str.isalpha, w)) for w in words):
                         names.append("und")
                         values.append(0.0)
                         continue
