@@ -22,7 +22,7 @@ from carelake.llm.common import materialize
 SHARD = 4096
 LEAF = 64
 #: Share of the exact bound that pruning uses.
-FACTOR = 0.3
+FACTOR = 0.8
 #: Queries searched together.
 BLOCK = 1024
 
