@@ -153,7 +153,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
         def out():
             for lang, c in held.items():
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(c), pa.string()), pa.array(list(c)), pa.array(list(c.values()), pa.int64())],
+                    [pa.array([lang] * len(c), pa.string()), pa.array(list(c), pa.string()), pa.array(list(c.values()), pa.int64())],
                     ["lang", "word", "n"],
                 )
             held.clear()
