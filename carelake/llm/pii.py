@@ -24,7 +24,7 @@ KINDS = ("email", "ip", "card", "phone")
 WIDTH, STEP = 96, 48
 #: Bounds of the sample the model is trained on: windows with spans of each kind, and with digits but no span.
 MAX_SPANNED, MAX_OTHER = 600, 600
-HIDDEN, EPOCHS, BATCH, LEARN = 16, 6, 64, 0.01
+HIDDEN, STEPS, BATCH, LEARN = 16, 300, 64, 0.01
 #: Least mean posterior of the tags of a span that the model adds.
 SURE = 0.9
 
@@ -220,21 +220,21 @@ class Tagger:
         self._back(x[:, ::-1], "b", kb, dh[::-1, :, HIDDEN:], grad)
         return {name: v / n for name, v in grad.items()}
 
-    def fit(self, x, y, epochs: int = EPOCHS):
+    def fit(self, x, y, steps: int = STEPS):
+        """Adam steps over shuffled batches, as many at any sample size."""
         r = np.random.default_rng(5)
         m = {k: np.zeros_like(v) for k, v in self.w.items()}
         s = {k: np.zeros_like(v) for k, v in self.w.items()}
-        step = 0
-        for _ in range(epochs):
-            order = r.permutation(len(x))
-            for i in range(0, len(order), BATCH):
-                some = order[i : i + BATCH]
-                step += 1
-                for k, g in self.gradient(x[some], y[some]).items():
-                    g = np.clip(g, -5, 5)
-                    m[k] = 0.9 * m[k] + 0.1 * g
-                    s[k] = 0.99 * s[k] + 0.01 * g * g
-                    self.w[k] -= LEARN * m[k] / (1 - 0.9**step) / (np.sqrt(s[k] / (1 - 0.99**step)) + 1e-6)
+        order = np.zeros(0, np.int64)
+        for step in range(1, steps + 1):
+            if not len(order):
+                order = r.permutation(len(x))
+            some, order = order[:BATCH], order[BATCH:]
+            for k, g in self.gradient(x[some], y[some]).items():
+                g = np.clip(g, -5, 5)
+                m[k] = 0.9 * m[k] + 0.1 * g
+                s[k] = 0.99 * s[k] + 0.01 * g * g
+                self.w[k] -= LEARN * m[k] / (1 - 0.9**step) / (np.sqrt(s[k] / (1 - 0.99**step)) + 1e-6)
         return self
 
 
