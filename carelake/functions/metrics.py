@@ -1,6 +1,6 @@
 """Aggregate helpers with the result types the marts publish.
 
-Conventions: counts and flag sums are BIGINT, money sums DECIMAL(18,2),
+Conventions: counts and flag sums are BIGINT, money sums DECIMAL(28,2),
 rates and averages are rounded HALF_UP on decimals.
 """
 
@@ -26,7 +26,7 @@ def sum_flag(c) -> Column:
 
 
 def sum_money(c) -> Column:
-    return F.sum(_col(c)).cast("decimal(18,2)")
+    return F.sum(_col(c)).cast("decimal(28,2)")
 
 
 def avg_money(c, scale: int | None = 2) -> Column:

@@ -77,7 +77,7 @@ def _parsed_billing() -> list[Column]:
         discount.alias("discount_amount"),
         tax.alias("tax_amount"),
         # The source NET is ignored: it is recomputed from its parts.
-        F.round(gross - discount + tax, 2).cast("decimal(12,2)").alias("net_amount"),
+        F.round(gross - discount + tax, 2).try_cast("decimal(12,2)").alias("net_amount"),
         F.upper(_t("payment_mode")).alias("payment_mode"),
         _t("insurer_name").alias("insurer_name"),
     ]
@@ -123,6 +123,8 @@ def _rules_billing() -> list[Rule]:
         Rule("MISSING_SERVICE_CODE", c("service_code").isNotNull()),
         Rule("INVALID_GROSS_AMOUNT", c("gross_amount").isNotNull()),
         Rule("NEGATIVE_GROSS_AMOUNT", c("gross_amount").isNull() | (c("gross_amount") >= 0)),
+        # A net that the declared type cannot hold; without a gross amount there is none to judge.
+        Rule("INVALID_NET_AMOUNT", c("gross_amount").isNull() | c("net_amount").isNotNull()),
         Rule("NEGATIVE_NET_AMOUNT", c("net_amount").isNull() | (c("net_amount") >= 0)),
         Rule("INVALID_PAYMENT_MODE", c("payment_mode").isin(*PAYMENT_MODES)),
         Rule(

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from carelake.constants import DOMAINS
 from carelake.jobs import run_concurrently
@@ -21,12 +22,24 @@ from carelake.operators import clean as C
 from carelake.operators.merge import merge_into_path
 from carelake.plans.registry import MART_SNAPSHOTS
 from carelake.schemas import KEYS
-from carelake.sources.sinks import write_exceptions, write_partitioned, write_raw, write_snapshot
+from carelake.sources.sinks import exists, write_exceptions, write_partitioned, write_raw, write_snapshot
 
 DEFAULT_BUCKETS = 16
 CORE_SORT = {"patients": [], "appointments": ["appt_date", "department"], "billing": ["bill_date", "department"]}
 
 
+def _read_batch(spark: SparkSession, path: str, schema: StructType, batch_id: int) -> DataFrame:
+    """One batch's partition under ``path``, read by its own folder and with the schema it was written with; no
+    rows if the batch wrote none."""
+    folder = f"{path}/batch_id={batch_id}"
+    columns = StructType([f for f in schema.fields if f.name != "batch_id"])
+    if exists(spark, folder):
+        df = spark.read.schema(columns).parquet(folder)
+    else:
+        df = spark.createDataFrame([], columns)
+    return df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+
+
 def ingest(spark: SparkSession, root: str, domain: str, landed: DataFrame, batch_id: int,
            n_buckets: int = DEFAULT_BUCKETS, incremental: bool = False) -> None:
     """One load of one domain (the body of a cleaning task / micro-batch).
@@ -36,7 +49,7 @@ def ingest(spark: SparkSession, root: str, domain: str, landed: DataFrame, batch
     (:mod:`carelake.streaming.incremental`).
     """
     write_raw(landed.withColumn("batch_id", F.lit(batch_id).cast("bigint")), root, domain)
-    raw = spark.read.parquet(f"{root}/raw/{domain}").filter(F.col("batch_id") == batch_id)
+    raw = _read_batch(spark, f"{root}/raw/{domain}", landed.schema, batch_id)
     prepared = C.prepare(domain, raw)
     # Exceptions and the deduplicated batch both derive from the landed rows
     # and do not depend on each other: two jobs side by side.  The staged
@@ -48,7 +61,7 @@ def ingest(spark: SparkSession, root: str, domain: str, landed: DataFrame, batch
         "stage": lambda: write_partitioned(
             C.clean(domain, prepared).withColumn("batch_id", F.lit(batch_id).cast("bigint")), staged, ["batch_id"]),
     }, 2)
-    batch = spark.read.parquet(staged).filter(F.col("batch_id") == batch_id).drop("batch_id")
+    batch = _read_batch(spark, staged, C.clean(domain, prepared).schema, batch_id).drop("batch_id")
     replaced = f"{root}/_changes/{domain}/batch_id={batch_id}" if incremental else None
     merge_into_path(spark, f"{root}/core/{domain}", batch, KEYS[domain], n_buckets, CORE_SORT[domain], replaced)
     if incremental:

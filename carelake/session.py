@@ -39,6 +39,5 @@ def checkpoint_dir(spark: SparkSession) -> str:
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="carelake-ckpt-", dir=os.environ.get("CARELAKE_SCRATCH", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d

@@ -33,6 +33,11 @@ def committed(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
 def has_partitions(spark: SparkSession, path: str) -> bool:
     """A partitioned table with at least one partition directory.
 

@@ -20,14 +20,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from carelake.constants import DOMAINS
 from carelake.pipeline import DEFAULT_BUCKETS, ingest, refresh_mart
-from carelake.session import checkpoint_dir
 from carelake.sources.csv import stream_landing
 
 
 def start_ingest(spark: SparkSession, landing: str, root: str, domain: str, *, checkpoint: str | None = None,
                  trigger: dict | None = None, n_buckets: int = DEFAULT_BUCKETS,
                  max_files_per_trigger: int | None = None, incremental: bool = False) -> StreamingQuery:
-    ckpt = checkpoint or f"{checkpoint_dir(spark)}/ingest/{domain}"
+    ckpt = checkpoint or f"{root}/_checkpoints/{domain}"
 
     def process(batch_df, batch_id: int) -> None:
         ingest(batch_df.sparkSession, root, domain, batch_df, int(batch_id), n_buckets, incremental)

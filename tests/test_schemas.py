@@ -19,12 +19,3 @@ def test_present_converts_dates_decimals_ints(spark):
     out = present(df)
     assert dict(out.dtypes) == {"d": "string", "m": "double", "i": "bigint"}
     assert tuple(out.collect()[0]) == ("2024-01-02", 12.5, 3)
-
-
-def test_narrow_scan_is_spread(spark):
-    from carelake.sources.fixtures import spread
-
-    one = spark.range(100).coalesce(1)
-    assert spread(one, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 100, 1, 64)
-    assert spread(wide, "id").rdd.getNumPartitions() == 64  # already wide enough: untouched
