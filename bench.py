@@ -22,6 +22,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from carelake import Warehouse  # noqa: E402
+from carelake.constants import ENGINEER_ROLE  # noqa: E402
 from carelake.pipeline import ingest, run_batch  # noqa: E402
 from carelake.plans.catalog import MERGE_SPLITS, catalog  # noqa: E402
 from carelake.session import checkpoint_dir, get_spark  # noqa: E402
@@ -66,19 +67,19 @@ def main() -> None:
     out: dict[str, float] = {}
     cat = catalog()
 
-    lazy = Warehouse.from_testdata(spark, SF_DIR)
+    lazy = Warehouse.from_testdata(spark, SF_DIR, role=ENGINEER_ROLE)
     raws = {d: lazy.resolve(f"raw_{d}") for d in ("patients", "appointments", "billing")}
-    out["load_full"] = timed(lambda: run_batch(spark, root, raws, batch_id=0, incremental=True))
+    out["load_full"] = timed(lambda: run_batch(spark, root, raws, load_key=0, incremental=True))
 
     col, _, lo = MERGE_SPLITS["billing"]
     second = raws["billing"].filter(F.col(col) >= lo)
-    out["merge_increment"] = timed(lambda: ingest(spark, root, "billing", second, 1, incremental=True))
+    out["merge_increment"] = timed(lambda: ingest(spark, root, "billing", second, load_key=1, incremental=True))
 
-    stored = Warehouse.from_storage(spark, root)
+    stored = Warehouse.from_storage(spark, root, role=ENGINEER_ROLE)
     for name in STORED_QUERIES:
         out[f"q:{name}"] = timed(lambda n=name: run(cat[n](stored)), repeat=2)
     for name in E2E_QUERIES:
-        out[f"e2e:{name}"] = timed(lambda n=name: run(cat[n](Warehouse.from_testdata(spark, SF_DIR))), repeat=2)
+        out[f"e2e:{name}"] = timed(lambda n=name: run(cat[n](Warehouse.from_testdata(spark, SF_DIR, role=ENGINEER_ROLE))), repeat=2)
 
     total = round(sum(out.values()), 3)
     print(json.dumps({"metric": "total_sec", "value": total, "unit": "sec", "queries": out,

@@ -7,7 +7,8 @@
   query    <root> <name> [--role R]    show a registered query over the stored warehouse
   list                                 names of the registered queries
 
-Checkpoints go to ``spark.checkpoint.dir`` (set it to shared storage on a cluster).
+A landing file is taken once, by whichever of load and stream sees it first.  ``stream --every`` keeps the
+additive aggregates current per micro-batch.  Checkpoints are kept below the root.
 """
 
 import argparse
@@ -22,7 +23,7 @@ def main(argv=None) -> int:
     a = sub.add_parser("load")
     a.add_argument("landing")
     a.add_argument("root")
-    a.add_argument("--batch-id", type=int, default=0)
+    a.add_argument("--key", default=None, help="names the load, so that the same rows again replay it")
     s = sub.add_parser("stream")
     s.add_argument("landing")
     s.add_argument("root")
@@ -50,12 +51,13 @@ def main(argv=None) -> int:
 
         wh = Warehouse.from_landing(spark, args.landing)
         raws = {d: wh.resolve(f"raw_{d}") for d in ("patients", "appointments", "billing")}
-        run_batch(spark, args.root, raws, batch_id=args.batch_id)
+        run_batch(spark, args.root, raws, load_key=args.key, load_once=True)
     elif args.cmd == "stream":
         from carelake.streaming import run_available, start_ingest
 
         if args.every:
-            queries = [start_ingest(spark, args.landing, args.root, d, trigger={"processingTime": args.every})
+            queries = [start_ingest(spark, args.landing, args.root, d, trigger={"processingTime": args.every},
+                                    incremental=True)
                        for d in ("patients", "appointments", "billing")]
             spark.streams.awaitAnyTermination()
             for x in queries:

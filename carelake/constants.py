@@ -28,6 +28,7 @@ EXEMPT_ROLES_DEFAULT = (
     "HOSPITAL_VIEWER_ROLE",
     "ACCOUNTADMIN",
 )
+ENGINEER_ROLE = EXEMPT_ROLES_DEFAULT[0]
 # Documented intent: viewers see masked data.
 EXEMPT_ROLES_STRICT = ("HOSPITAL_ENGINEER_ROLE", "HOSPITAL_ANALYST_ROLE", "ACCOUNTADMIN")
 PHONE_MASK_PREFIX = "******"

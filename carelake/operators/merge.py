@@ -1,6 +1,6 @@
 """M1/M2: keyed upsert (MERGE ... WHEN MATCHED UPDATE / NOT MATCHED INSERT).
 
-``upsert`` is the logical operator: target rows whose key is absent from the
+``upsert`` is the logical operator, one full outer join: target rows whose key is absent from the
 batch are kept; batch rows replace or insert, carrying the target's
 first-insert ``_cleaned_at``.  There is no delete branch.  Replaying the same
 batch yields the same table (idempotent), which is what makes a failed
@@ -15,42 +15,39 @@ proportional to the buckets it hits, not to the table.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from carelake.sources.sinks import _fs, committed, has_partitions, write_partitioned
+
 BUCKET_COL = "key_bucket"
 
 
 def upsert(target: DataFrame, batch: DataFrame, key: str, cleaned_at=None) -> DataFrame:
     """Result of merging ``batch`` (one row per key) into ``target``."""
     now = F.localtimestamp() if cleaned_at is None else F.lit(cleaned_at).cast("timestamp_ntz")
-    kept = target.join(batch.select(key), key, "left_anti")
-    prev = target.select(key, F.col("_cleaned_at").alias("_prev_cleaned_at"))
-    src = batch.drop("_cleaned_at") if "_cleaned_at" in batch.columns else batch
-    changed = src.join(prev, key, "left").withColumn(
-        "_cleaned_at", F.coalesce(F.col("_prev_cleaned_at"), now)
-    ).drop("_prev_cleaned_at")
-    return kept.unionByName(changed.select(*target.columns))
+    src = batch if "_cleaned_at" in batch.columns else batch.withColumn("_cleaned_at", F.lit(None).cast("timestamp_ntz"))
+    src = src.select(*target.columns, F.lit(True).alias("_new"))
+    t, b = target.alias("t"), src.alias("b")
+    new = F.col("b._new")
+    cleaned = F.coalesce(F.col("t._cleaned_at"), F.when(new, now))
+    return t.join(b, F.col(f"t.`{key}`") == F.col(f"b.`{key}`"), "full_outer").select(*[
+        F.when(new, cleaned).otherwise(F.col("t._cleaned_at")).alias(c) if c == "_cleaned_at"
+        else F.when(new, F.col(f"b.`{c}`")).otherwise(F.col(f"t.`{c}`")).alias(c)
+        for c in target.columns])
 
 
 def bucket_of(key: str, n_buckets: int):
     return F.pmod(F.xxhash64(F.col(key)), F.lit(n_buckets)).cast("int")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """A bucketed table exists when it has at least one bucket directory.
+def clustered(df: DataFrame, buckets: int, order: list[str]) -> DataFrame:
+    """Rows by bucket and then clustering columns, range-partitioned.
 
-    (Dynamic partition overwrite writes no ``_SUCCESS`` marker at the root.)
+    A range may end inside a bucket, so a bucket larger than a partition is
+    written by several tasks, each holding its own span of dates (S14), and
+    small buckets share one.  Partitions are as many as the session's shuffle
+    partitions, and at least the buckets; adaptive execution joins small ones.
     """
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return False
-    return any(st.getPath().getName().startswith(BUCKET_COL + "=") for st in fs.listStatus(p))
-
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+    n = max(buckets, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartitionByRange(n, *order).sortWithinPartitions(*order)
 
 
 def stored_bucket_count(spark: SparkSession, path: str) -> int | None:
@@ -71,12 +68,6 @@ def _record_bucket_count(spark: SparkSession, path: str, n_buckets: int) -> None
     fs.mkdirs(p)
 
 
-def _committed(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_SUCCESS")
-    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
-
-
 def merge_into_path(
     spark: SparkSession, path: str, batch: DataFrame, key: str, n_buckets: int, sort_by: list[str] | None = None,
     replaced_path: str | None = None,
@@ -102,13 +93,14 @@ def merge_into_path(
     src = batch.withColumn(BUCKET_COL, bucket_of(key, n_buckets))
     if "_cleaned_at" not in src.columns:
         src = src.withColumn("_cleaned_at", F.lit(None).cast("timestamp_ntz"))
-    if not _exists(spark, path):
-        if replaced_path and not _committed(spark, replaced_path):
+    if not has_partitions(spark, path):
+        if replaced_path and not committed(spark, replaced_path):
             src.limit(0).write.mode("overwrite").parquet(replaced_path)
         first = src.withColumn("_cleaned_at", F.coalesce("_cleaned_at", F.localtimestamp()))
-        (first.repartition(BUCKET_COL).sortWithinPartitions(*order)
-         .write.mode("overwrite").partitionBy(BUCKET_COL).parquet(path))
+        # The marker comes first and the write replaces only bucket folders:
+        # a load that fails in between leaves the count that a retry must use.
         _record_bucket_count(spark, path, n_buckets)
+        write_partitioned(clustered(first, n_buckets, order), path, [BUCKET_COL])
         return
     target = spark.read.parquet(path)
     # The touched buckets are at most ``n_buckets`` small ints: a static
@@ -117,17 +109,13 @@ def merge_into_path(
     if not touched:
         return
     affected = target.filter(F.col(BUCKET_COL).isin(touched))
-    if replaced_path and not _committed(spark, replaced_path):
+    if replaced_path and not committed(spark, replaced_path):
         affected.join(src.select(key), key, "left_semi").write.mode("overwrite").parquet(replaced_path)
     merged = upsert(affected, src.select(*target.columns), key)
     # Never overwrite a path from a plan that reads it: the merged buckets are
     # written to a staging table first (also the recovery point if an
     # executor is lost), then swapped into the target partition by partition.
     staging = path.rstrip("/") + "__merge_staging"
-    (merged.repartition(BUCKET_COL).sortWithinPartitions(*order)
-     .write.mode("overwrite").partitionBy(BUCKET_COL).parquet(staging))
-    (spark.read.parquet(staging)
-     .write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BUCKET_COL)
-     .parquet(path))
+    (clustered(merged, len(touched), order)
+     .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(BUCKET_COL).parquet(staging))
+    write_partitioned(spark.read.parquet(staging), path, [BUCKET_COL])

@@ -11,6 +11,7 @@ inside each bucket, so their date filters prune).
 
 from __future__ import annotations
 
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,8 +22,9 @@ from carelake.jobs import run_concurrently
 from carelake.operators import clean as C
 from carelake.operators.merge import merge_into_path
 from carelake.plans.registry import MART_SNAPSHOTS
-from carelake.schemas import KEYS
-from carelake.sources.sinks import exists, write_exceptions, write_partitioned, write_raw, write_snapshot
+from carelake.schemas import KEYS, RAW_COLUMNS
+from carelake.sources import batches
+from carelake.sources.sinks import exists, mark_core_change, write_exceptions, write_partitioned, write_raw, write_snapshot
 
 DEFAULT_BUCKETS = 16
 CORE_SORT = {"patients": [], "appointments": ["appt_date", "department"], "billing": ["bill_date", "department"]}
@@ -40,14 +42,37 @@ def _read_batch(spark: SparkSession, path: str, schema: StructType, batch_id: in
     return df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
 
 
-def ingest(spark: SparkSession, root: str, domain: str, landed: DataFrame, batch_id: int,
-           n_buckets: int = DEFAULT_BUCKETS, incremental: bool = False) -> None:
-    """One load of one domain (the body of a cleaning task / micro-batch).
+def ingest(spark: SparkSession, root: str, domain: str, landed: DataFrame, load_key: str | int | None = None,
+           n_buckets: int = DEFAULT_BUCKETS, incremental: bool = False, load_once: bool = False) -> int:
+    """One bulk load of one domain; returns its batch id.
+
+    ``load_key`` names the load for a replay: the same key with the same rows
+    is the same batch, which is finished if it failed and left alone if not.  The same key with other rows, or no key, is a new
+    batch, so no load overwrites another.
+    """
+    token = f"load/{uuid.uuid4()}"
+    if load_key is not None:
+        token = f"load/{domain}/{load_key}/{batches.content_key(landed, RAW_COLUMNS[domain])}"
+    batch_id = batches.claim(spark, root, token)
+    apply_load(spark, root, domain, landed, batch_id, n_buckets, incremental, load_once)
+    return batch_id
+
+
+def apply_load(spark: SparkSession, root: str, domain: str, landed: DataFrame, batch_id: int,
+               n_buckets: int = DEFAULT_BUCKETS, incremental: bool = False, load_once: bool = False) -> None:
+    """Land, clean and merge the batch with the claimed id ``batch_id`` (the body of a load or micro-batch).
 
     With ``incremental`` the MERGE records the rows it replaces and the
     additive MART aggregates absorb the batch as a delta
-    (:mod:`carelake.streaming.incremental`).
+    (:mod:`carelake.streaming.incremental`); a root that keeps this state has
+    every load absorbed.  With ``load_once`` the rows of landing files that
+    another load has committed are left out (S8).
     """
+    if batches.is_done(spark, root, batch_id):
+        return
+    incremental = incremental or has_state(spark, root, domain)
+    if load_once:
+        landed = batches.unloaded(spark, root, domain, landed, batch_id)
     write_raw(landed.withColumn("batch_id", F.lit(batch_id).cast("bigint")), root, domain)
     raw = _read_batch(spark, f"{root}/raw/{domain}", landed.schema, batch_id)
     prepared = C.prepare(domain, raw)
@@ -64,20 +89,31 @@ def ingest(spark: SparkSession, root: str, domain: str, landed: DataFrame, batch
     batch = _read_batch(spark, staged, C.clean(domain, prepared).schema, batch_id).drop("batch_id")
     replaced = f"{root}/_changes/{domain}/batch_id={batch_id}" if incremental else None
     merge_into_path(spark, f"{root}/core/{domain}", batch, KEYS[domain], n_buckets, CORE_SORT[domain], replaced)
+    mark_core_change(spark, root, domain)
     if incremental:
         from carelake.sources.sinks import committed
         from carelake.streaming.incremental import apply_batch
 
         old = spark.read.parquet(replaced) if committed(spark, replaced) else None
         apply_batch(spark, root, domain, batch_id, batch, old)
+    if load_once:
+        batches.record_files(spark, root, domain, raw)
+    batches.mark_done(spark, root, batch_id)
+
+
+def has_state(spark: SparkSession, root: str, domain: str) -> bool:
+    from carelake.streaming.incremental import latest_state, specs_for
+
+    return any(latest_state(spark, root, name) is not None for name in specs_for(domain))
 
 
-def ingest_all(spark: SparkSession, root: str, landed: dict[str, DataFrame], batch_id: int,
-               n_buckets: int = DEFAULT_BUCKETS, parallel: bool = True, incremental: bool = False) -> None:
+def ingest_all(spark: SparkSession, root: str, landed: dict[str, DataFrame], load_key: str | int | None = None,
+               n_buckets: int = DEFAULT_BUCKETS, parallel: bool = True, incremental: bool = False,
+               load_once: bool = False) -> None:
     """Patients first (X14), then appointments and billing side by side."""
     if "patients" in landed:
-        ingest(spark, root, "patients", landed["patients"], batch_id, n_buckets, incremental)
-    rest = {d: (lambda d=d: ingest(spark, root, d, landed[d], batch_id, n_buckets, incremental))
+        ingest(spark, root, "patients", landed["patients"], load_key, n_buckets, incremental, load_once)
+    rest = {d: (lambda d=d: ingest(spark, root, d, landed[d], load_key, n_buckets, incremental, load_once))
             for d in DOMAINS if d != "patients" and d in landed}
     run_concurrently(rest, 2 if parallel else 1)
 
@@ -92,20 +128,21 @@ def refresh_mart(spark: SparkSession, root: str, skip: tuple[str, ...] = (), **w
     from carelake.warehouse import Warehouse
 
     workers = wh_kw.pop("parallel_jobs", 4)
-    wh = Warehouse.from_storage(spark, root, [f"core_{d}" for d in DOMAINS], **wh_kw)
+    wh = Warehouse.from_storage(spark, root, [f"core_{d}" for d in DOMAINS], masked=False, **wh_kw)
     names = [n for n in MART_SNAPSHOTS if n not in skip]
     plans = {n: wh.resolve(n) for n in names}  # plans built on the driver thread
     return run_concurrently({n: (lambda n=n: write_snapshot(spark, plans[n], root, n)) for n in names}, workers)
 
 
-def run_batch(spark: SparkSession, root: str, landed: dict[str, DataFrame], batch_id: int = 0,
-              n_buckets: int = DEFAULT_BUCKETS, incremental: bool = False, **wh_kw) -> dict[str, str]:
+def run_batch(spark: SparkSession, root: str, landed: dict[str, DataFrame], load_key: str | int | None = None,
+              n_buckets: int = DEFAULT_BUCKETS, incremental: bool = False, load_once: bool = False,
+              **wh_kw) -> dict[str, str]:
     """Full load: every domain merged into CORE, then the MART refreshed.
 
     With ``incremental`` the additive aggregates' state is also started, so
     later loads can maintain them per batch instead of rebuilding.
     """
-    ingest_all(spark, root, landed, batch_id, n_buckets, incremental=incremental)
+    ingest_all(spark, root, landed, load_key, n_buckets, incremental=incremental, load_once=load_once)
     skip: tuple[str, ...] = ()
     if incremental:
         from carelake.streaming.incremental import SPECS

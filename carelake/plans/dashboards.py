@@ -1,6 +1,7 @@
 """A1-A14 (tabbed dashboard) and B1-B13 (page dashboard) queries.
 
-Each is the DataFrame form of one dashboard SQL string.  Top-k queries add a
+Each is the DataFrame form of one dashboard SQL string, over the stored
+aggregates where the warehouse holds them.  Top-k queries add a
 key tie-break so equal metrics always select the same rows.
 """
 
@@ -9,7 +10,6 @@ from pyspark.sql import functions as F
 
 from carelake.functions.metrics import avg_money, count_rows, rate_pct, sum_flag, sum_money
 from carelake.operators.topk import ordered, top_k
-from carelake.plans import visuals
 
 
 # ------------------------------------------------------------ tabbed app
@@ -28,7 +28,7 @@ def appt_daily_volume(wh) -> DataFrame:
 
 
 def dept_workload(wh) -> DataFrame:
-    return visuals.dt_dept_appt(wh)
+    return wh.table("dt_dept_appt")
 
 
 def revenue_avg(wh) -> DataFrame:
@@ -38,12 +38,12 @@ def revenue_avg(wh) -> DataFrame:
 
 def monthly_revenue(wh) -> DataFrame:
     """A5: month rendered as yyyy-MM text, as the dashboard displays it."""
-    g = visuals.dt_monthly_revenue(wh)
+    g = wh.table("dt_monthly_revenue")
     return ordered(g.select(F.date_format("month", "yyyy-MM").alias("month"), "revenue"), [F.col("month").asc()])
 
 
 def payment_revenue(wh) -> DataFrame:
-    return visuals.dt_payment_revenue(wh)
+    return wh.table("dt_payment_revenue")
 
 
 def patient_city_counts(wh) -> DataFrame:
@@ -52,7 +52,7 @@ def patient_city_counts(wh) -> DataFrame:
 
 
 def gender_counts(wh) -> DataFrame:
-    return visuals.dt_demographics(wh)
+    return wh.table("dt_demographics")
 
 
 def top_cities(wh) -> DataFrame:
@@ -123,17 +123,15 @@ def page_revenue_kpi(wh) -> DataFrame:
 
 
 def page_dept_volume(wh) -> DataFrame:
-    return ordered(visuals.dt_dept_appt(wh), [F.col("appointments").desc()], ["department"])
+    return ordered(wh.table("dt_dept_appt"), [F.col("appointments").desc()], ["department"])
 
 
 def page_payment_revenue(wh) -> DataFrame:
-    return visuals.dt_payment_revenue(wh)
+    return wh.table("dt_payment_revenue")
 
 
 def page_daily_trend(wh) -> DataFrame:
-    from carelake.plans.views import vw_daily_opd_trend
-
-    return ordered(vw_daily_opd_trend(wh), [F.col("appt_date").asc()])
+    return ordered(wh.table("vw_daily_opd_trend"), [F.col("appt_date").asc()])
 
 
 def page_no_show_dept(wh) -> DataFrame:
@@ -143,9 +141,7 @@ def page_no_show_dept(wh) -> DataFrame:
 
 
 def page_busiest_doctors(wh) -> DataFrame:
-    from carelake.plans.views import vw_doctor_performance
-
-    v = vw_doctor_performance(wh).select("doctor_name", "primary_department", "total_appointments")
+    v = wh.table("vw_doctor_performance").select("doctor_name", "primary_department", "total_appointments")
     return top_k(v, 10, [F.col("total_appointments").desc()], ["doctor_name", "primary_department"])
 
 

@@ -21,6 +21,15 @@ from pyspark.sql import DataFrame, SparkSession
 from carelake.constants import DOMAINS
 
 
+# CORE tables behind each computed dimension.
+DIMENSION_INPUTS = {
+    "dim_date": ("appointments", "billing"),
+    "dim_doctor": ("appointments",),
+    "dim_service": ("billing",),
+    "dim_department": ("appointments", "billing"),
+}
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -38,6 +47,27 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """Text of a small metadata file, None where there is none."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return str(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, p = _fs(spark, path)
+    stream = fs.create(p, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
 def has_partitions(spark: SparkSession, path: str) -> bool:
     """A partitioned table with at least one partition directory.
 
@@ -96,8 +126,26 @@ def latest_snapshot(spark: SparkSession, root: str, name: str) -> str | None:
     return max(versions)[1] if versions else None
 
 
+def mark_core_change(spark: SparkSession, root: str, domain: str) -> None:
+    """Note when CORE of ``domain`` last changed (after its MERGE)."""
+    write_text(spark, f"{root}/_core_changed/{domain}", str(time.time_ns() // 1000))
+
+
+def _outdated(spark: SparkSession, root: str, name: str, snapshot: str) -> bool:
+    """A dimension snapshot begun before the last change of a CORE table it derives from."""
+    version = int(snapshot.rstrip("/").rsplit("v=", 1)[1])
+    changes = (read_text(spark, f"{root}/_core_changed/{d}") for d in DIMENSION_INPUTS.get(name, ()))
+    return any(c is not None and int(c) >= version for c in changes)
+
+
 def read_stored_tables(spark: SparkSession, root: str, names=None) -> dict[str, DataFrame]:
-    """Every committed table under ``root`` (optionally only ``names``)."""
+    """Every committed table under ``root`` (optionally only ``names``).
+
+    Facts are inner-joined to the computed dimensions, so an outdated
+    dimension would drop the facts of new days, doctors and services: such a
+    snapshot is left out and the dimension resolves over CORE until the next
+    refresh.
+    """
     out: dict[str, DataFrame] = {}
     for d in DOMAINS:
         for layer, name in (("raw", f"raw_{d}"), ("core", f"core_{d}")):
@@ -113,6 +161,6 @@ def read_stored_tables(spark: SparkSession, root: str, names=None) -> dict[str,
             if names is not None and name not in names:
                 continue
             path = latest_snapshot(spark, root, name)
-            if path:
+            if path and not _outdated(spark, root, name, path):
                 out[name] = spark.read.parquet(path)
     return out

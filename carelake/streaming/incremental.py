@@ -9,13 +9,14 @@ are sums and counts, so each batch can be applied as a delta instead:
 ``new rows`` is the staged, deduplicated batch; ``rows the batch replaced`` is
 the change set the MERGE recorded before swapping buckets (write-once per
 batch).  Every state row carries ``_rows`` (how many fact rows it sums) so a
-group whose rows all moved away is dropped.  The state of each aggregate
-records the last batch it absorbed; a replayed batch (same or lower id) is
-skipped, which keeps the delta exactly-once even though the MERGE itself is
+group whose rows all moved away is dropped.  Every state version names
+the batch it absorbed; a replayed batch is skipped, whichever batches came
+between, which keeps the delta exactly-once even though the MERGE itself is
 simply re-run.  The published snapshot is the state without ``_rows``.
 
-Dimensions, facts and the calendar/service/department dimensions are not
-additive; they resolve lazily over CORE or are rebuilt by ``refresh_mart``.
+Facts and ``dim_patient`` resolve over CORE.  The computed dimensions are not
+additive: a snapshot older than CORE is passed over by readers, which then
+resolve the dimension over CORE, until ``refresh_mart`` writes a new one.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.sources.sinks import committed, write_snapshot
+from carelake.sources.sinks import committed, has_partitions, write_snapshot
 
 
 @dataclass(frozen=True)
@@ -66,16 +67,16 @@ SPECS: dict[str, Additive] = {
          ("no_shows", _c("is_no_show"), "bigint"), ("cancelled", _c("is_cancelled"), "bigint")]),
     "dt_payment_revenue": Additive(
         "billing", "fact_billing", [("payment_mode", _c("payment_mode"))],
-        [("revenue", _c("net_amount"), "decimal(18,2)")]),
+        [("revenue", _c("net_amount"), "decimal(28,2)")]),
     "dt_monthly_revenue": Additive(
         "billing", "fact_billing", [("month", _month("bill_date"))],
-        [("revenue", _c("net_amount"), "decimal(18,2)")]),
+        [("revenue", _c("net_amount"), "decimal(28,2)")]),
     "mv_monthly_revenue": Additive(
         "billing", "fact_billing",
         [("bill_month", _month("bill_date")), ("department", _c("department")), ("payment_mode", _c("payment_mode"))],
-        [("bill_count", _one, "bigint"), ("total_gross", _c("gross_amount"), "decimal(18,2)"),
-         ("total_discount", _c("discount_amount"), "decimal(18,2)"),
-         ("total_tax", _c("tax_amount"), "decimal(18,2)"), ("total_net", _c("net_amount"), "decimal(18,2)")],
+        [("bill_count", _one, "bigint"), ("total_gross", _c("gross_amount"), "decimal(28,2)"),
+         ("total_discount", _c("discount_amount"), "decimal(28,2)"),
+         ("total_tax", _c("tax_amount"), "decimal(28,2)"), ("total_net", _c("net_amount"), "decimal(28,2)")],
         derived=[("avg_net", lambda: (F.col("total_net") / F.col("bill_count")).cast("decimal(16,6)"))]),
     "dt_demographics": Additive(
         "patients", "dim_patient", [("gender", _c("gender"))], [("count", _one, "bigint")],
@@ -90,7 +91,7 @@ def specs_for(domain: str) -> dict[str, Additive]:
 def _project(spark: SparkSession, spec: Additive, core_rows: DataFrame) -> DataFrame:
     from carelake.warehouse import Warehouse
 
-    return Warehouse(spark, {f"core_{spec.domain}": core_rows}).resolve(spec.source)
+    return Warehouse(spark, {f"core_{spec.domain}": core_rows}, masked=False).resolve(spec.source)
 
 
 def contributions(spark: SparkSession, spec: Additive, core_rows: DataFrame, sign: int) -> DataFrame:
@@ -123,18 +124,25 @@ def _state_root(root: str, name: str) -> str:
     return f"{root}/_state/{name}"
 
 
-def latest_state(spark: SparkSession, root: str, name: str) -> tuple[int, str] | None:
+def states(spark: SparkSession, root: str, name: str) -> list[tuple[int, int, str]]:
+    """Committed state versions as (sequence, absorbed batch, path), oldest first."""
     from carelake.sources.sinks import _fs
 
     fs, p = _fs(spark, _state_root(root, name))
     if not fs.exists(p):
-        return None
+        return []
     found = []
     for st in fs.listStatus(p):
         n = st.getPath().getName()
-        if n.startswith("b=") and committed(spark, st.getPath().toString()):
-            found.append((int(n[2:]), st.getPath().toString()))
-    return max(found) if found else None
+        if n.startswith("s=") and committed(spark, st.getPath().toString()):
+            seq, batch = n[2:].split(",b=")
+            found.append((int(seq), int(batch), st.getPath().toString()))
+    return sorted(found)
+
+
+def latest_state(spark: SparkSession, root: str, name: str) -> tuple[int, int, str] | None:
+    found = states(spark, root, name)
+    return found[-1] if found else None
 
 
 def apply_batch(spark: SparkSession, root: str, domain: str, batch_id: int,
@@ -145,24 +153,26 @@ def apply_batch(spark: SparkSession, root: str, domain: str, batch_id: int,
     """
     from carelake.jobs import run_concurrently
 
-    def absorb(name: str, spec: Additive, latest: tuple[int, str] | None) -> str:
+    def absorb(name: str, spec: Additive, latest: tuple[int, int, str] | None) -> str:
         if latest is None:
             # First use: build the state from the stored CORE (already merged).
-            core = spark.read.parquet(f"{root}/core/{domain}")
+            stored = f"{root}/core/{domain}"
+            core = spark.read.parquet(stored) if has_partitions(spark, stored) else new_rows
             state = fold(spec, contributions(spark, spec, core, 1))
         else:
-            parts = spark.read.parquet(latest[1]).unionByName(contributions(spark, spec, new_rows, 1))
+            parts = spark.read.parquet(latest[2]).unionByName(contributions(spark, spec, new_rows, 1))
             if replaced_rows is not None:
                 parts = parts.unionByName(contributions(spark, spec, replaced_rows, -1))
             state = fold(spec, parts)
-        path = f"{_state_root(root, name)}/b={batch_id}"
+        path = f"{_state_root(root, name)}/s={latest[0] + 1 if latest else 0},b={batch_id}"
         state.write.mode("overwrite").parquet(path)
         return write_snapshot(spark, publish_view(spec, spark.read.parquet(path)), root, name)
 
     tasks = {}
     for name, spec in specs_for(domain).items():
-        latest = latest_state(spark, root, name)
-        if latest is not None and latest[0] >= batch_id:
+        found = states(spark, root, name)
+        if any(b == batch_id for _, b, _ in found):
             continue  # replay of an absorbed batch
+        latest = found[-1] if found else None
         tasks[name] = (lambda n=name, s=spec, lt=latest: absorb(n, s, lt))
     return run_concurrently(tasks, 4)

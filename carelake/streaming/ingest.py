@@ -4,9 +4,10 @@ One streaming query per domain reads the landing directory through the file
 source (routed by file name).  The file-source checkpoint is the change
 feed's offset: a file is delivered once, existing files first (T1), the
 offset advances only when the micro-batch commits (T3), and a new checkpoint
-directory replays everything (T5).  ``foreachBatch`` runs the same
-``pipeline.ingest`` as the batch path; it is idempotent per ``batch_id``
-(partition overwrite + keyed upsert), so a replayed micro-batch is harmless.
+directory delivers everything again (T5).  ``foreachBatch`` runs the same
+``pipeline.apply_load`` as the batch path under an id claimed for (query id,
+micro-batch), so a replayed micro-batch rewrites itself and nothing else.
+Files that any earlier load has committed are not landed again.
 
 ``trigger(availableNow=True)`` is the has-data gate (T2): it processes what is
 pending and stops, doing nothing when no new file arrived.  A
@@ -19,17 +20,23 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from carelake.constants import DOMAINS
-from carelake.pipeline import DEFAULT_BUCKETS, ingest, refresh_mart
+from carelake.pipeline import DEFAULT_BUCKETS, apply_load, refresh_mart
+from carelake.sources.batches import claim, stream_id
 from carelake.sources.csv import stream_landing
 
 
 def start_ingest(spark: SparkSession, landing: str, root: str, domain: str, *, checkpoint: str | None = None,
                  trigger: dict | None = None, n_buckets: int = DEFAULT_BUCKETS,
-                 max_files_per_trigger: int | None = None, incremental: bool = False) -> StreamingQuery:
+                 max_files_per_trigger: int | None = None, incremental: bool = False, on_rows=None) -> StreamingQuery:
+    """Start the query of one domain; ``on_rows`` is told the rows of every finished micro-batch."""
     ckpt = checkpoint or f"{root}/_checkpoints/{domain}"
 
     def process(batch_df, batch_id: int) -> None:
-        ingest(batch_df.sparkSession, root, domain, batch_df, int(batch_id), n_buckets, incremental)
+        session = batch_df.sparkSession
+        claimed = claim(session, root, f"stream/{stream_id(session, ckpt)}/{batch_id}")
+        apply_load(session, root, domain, batch_df, claimed, n_buckets, incremental, load_once=True)
+        if on_rows is not None:
+            on_rows(batch_df.count())
 
     src = stream_landing(spark, landing, domain, max_files_per_trigger)
     return (src.writeStream.queryName(f"ingest_{domain}")
@@ -39,14 +46,9 @@ def start_ingest(spark: SparkSession, landing: str, root: str, domain: str, *, c
             .start())
 
 
-def _input_rows(progress) -> int:
-    if isinstance(progress, dict):
-        return int(progress.get("numInputRows", 0))
-    return int(getattr(progress, "numInputRows", 0) or 0)
-
-
 def run_available(spark: SparkSession, landing: str, root: str, *, checkpoint: str | None = None,
-                  refresh: bool | str = True, n_buckets: int = DEFAULT_BUCKETS, **wh_kw) -> dict[str, int]:
+                  refresh: bool | str = True, n_buckets: int = DEFAULT_BUCKETS,
+                  max_files_per_trigger: int | None = None, **wh_kw) -> dict[str, int]:
     """Process every pending file of every domain, then refresh the MART.
 
     ``refresh``: True / "full" rebuilds every MART snapshot after the run;
@@ -56,15 +58,17 @@ def run_available(spark: SparkSession, landing: str, root: str, *, checkpoint: s
     not refreshed (the has-data gate).
     """
     incremental = refresh == "incremental"
-    consumed: dict[str, int] = {}
+    consumed: dict[str, int] = dict.fromkeys(DOMAINS, 0)
     for d in DOMAINS:  # patients first
+        def add(rows: int, d: str = d) -> None:
+            consumed[d] += rows
+
         q = start_ingest(spark, landing, root, d,
                          checkpoint=None if checkpoint is None else f"{checkpoint}/{d}", n_buckets=n_buckets,
-                         incremental=incremental)
+                         incremental=incremental, max_files_per_trigger=max_files_per_trigger, on_rows=add)
         q.awaitTermination()
         if q.exception() is not None:
             raise q.exception()
-        consumed[d] = sum(_input_rows(p) for p in q.recentProgress)
     if refresh and not incremental and any(consumed.values()):
         refresh_mart(spark, root, **wh_kw)
     return consumed

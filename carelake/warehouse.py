@@ -8,7 +8,8 @@ logical subtree (Catalyst reuses the exchange).
 
 Masking (K4) happens here, when a table is resolved for a caller with a
 role: every downstream view, group-by and join sees masked values, just like
-a column policy evaluated at read time.
+a column policy evaluated at read time.  Without a role everything a
+policy covers is masked.
 """
 
 from __future__ import annotations
@@ -30,11 +31,13 @@ class Warehouse:
         role: str | None = None,
         exempt_roles: Sequence[str] = EXEMPT_ROLES_DEFAULT,
         as_of: datetime.date = AS_OF_DEFAULT,
+        masked: bool = True,
     ) -> None:
         self.spark = spark
         self.role = role
         self.exempt_roles = tuple(exempt_roles)
         self.as_of = as_of
+        self.masked = masked  # False only for the jobs that write tables
         self._given = dict(tables or {})
         self._memo: dict[str, DataFrame] = {}
 
@@ -75,6 +78,7 @@ class Warehouse:
             role=role,
             exempt_roles=self.exempt_roles if exempt_roles is None else exempt_roles,
             as_of=self.as_of,
+            masked=self.masked,
         )
 
     # ----------------------------------------------------------- resolution

@@ -20,8 +20,9 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def wh_small(spark):
     from carelake import Warehouse
+    from carelake.constants import ENGINEER_ROLE
 
-    return Warehouse.from_testdata(spark, SF_SMALL)
+    return Warehouse.from_testdata(spark, SF_SMALL, role=ENGINEER_ROLE)
 
 
 def write_csv(path, header, rows, gz=False):

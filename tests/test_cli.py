@@ -3,6 +3,7 @@
 import os
 
 from carelake.__main__ import main
+from carelake.constants import ENGINEER_ROLE
 from carelake.schemas import RAW_COLUMNS
 from carelake.warehouse import Warehouse
 
@@ -15,7 +16,7 @@ def test_load_then_query(spark, wh_small, tmp_path, capsys):
         pdf.columns = [c.upper() for c in pdf.columns]
         pdf.to_csv(os.path.join(landing, f"{d}_2025.csv"), index=False)
     assert main(["load", landing, root]) == 0
-    stored = Warehouse.from_storage(spark, root)
+    stored = Warehouse.from_storage(spark, root, role=ENGINEER_ROLE)
     for d in ("patients", "appointments", "billing"):
         assert stored.table(f"core_{d}").count() == wh_small.table(f"core_{d}").count()
     assert main(["query", root, "payer_mix"]) == 0

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from carelake import Warehouse
+from carelake.constants import ENGINEER_ROLE
 from carelake.plans import dashboards, quality, visuals
 
 SF = "/root/testdata/sf0.01"
@@ -13,7 +14,7 @@ SF = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="module")
 def wh(spark):
-    return Warehouse.from_testdata(spark, SF)
+    return Warehouse.from_testdata(spark, SF, role=ENGINEER_ROLE)
 
 
 def test_counts(wh):

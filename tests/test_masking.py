@@ -17,6 +17,12 @@ def test_public_role_masks_core_and_dim(wh_small):
         assert all(r.email is None or r.email.startswith("****") for r in rows)
 
 
+def test_caller_without_role_sees_masked_values(wh_small):
+    for t in ("core_patients", "dim_patient"):
+        assert {r.full_name for r in wh_small.with_role(None).table(t).select("full_name").collect()} == {"****"}
+    assert vip_patients(wh_small.with_role(None)).first().full_name == "****"
+
+
 def test_masked_viewer_collapses_vip_groups(wh_small):
     clear = vip_patients(wh_small).collect()
     masked = vip_patients(wh_small.with_role("HOSPITAL_VIEWER_ROLE", EXEMPT_ROLES_STRICT)).collect()

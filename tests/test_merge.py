@@ -4,6 +4,7 @@ import datetime
 
 from pyspark.sql import functions as F
 
+from carelake.constants import ENGINEER_ROLE
 from carelake.operators.merge import BUCKET_COL, merge_into_path, upsert
 
 SCHEMA = "id long, v string, _cleaned_at timestamp_ntz"
@@ -68,7 +69,7 @@ def test_rerun_of_a_batch_is_a_no_op(spark, wh_small, tmp_path):
     raw = wh_small.resolve("raw_billing")
     ingest(spark, root, "billing", raw, 0, n_buckets=4)
     ingest(spark, root, "billing", raw, 0, n_buckets=4)
-    stored = Warehouse.from_storage(spark, root)
+    stored = Warehouse.from_storage(spark, root, role=ENGINEER_ROLE)
     assert stored.table("core_billing").count() == wh_small.table("core_billing").count()
     assert stored.table("raw_billing").count() == raw.count()
     assert stored.table("exceptions").count() == wh_small.table("exceptions").filter(

@@ -11,6 +11,7 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from carelake import Warehouse  # noqa: E402
+from carelake.constants import ENGINEER_ROLE  # noqa: E402
 from carelake.plans.catalog import catalog  # noqa: E402
 from carelake.session import get_spark  # noqa: E402
 
@@ -44,7 +45,7 @@ def main() -> None:
            f"Generated by `tools/explain_plans.py` from the lazy lineage over `{sf_dir}` "
            "(driver tables → RAW → CORE → MART → query), before adaptive re-planning.", ""]
     for name, note in NOTES.items():
-        df = cat[name](Warehouse.from_testdata(spark, sf_dir))
+        df = cat[name](Warehouse.from_testdata(spark, sf_dir, role=ENGINEER_ROLE))
         out += [f"## {name}", "", note, "", "```", tree(df), "```", ""]
     os.makedirs("docs", exist_ok=True)
     with open("docs/PLANS.md", "w") as f:
