@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from carelake import Warehouse
+from carelake.constants import ENGINEER_ROLE
 from carelake.plans import dashboards, views
 
 
@@ -15,7 +16,7 @@ def _skewed(wh_small):
         "raw_billing": raw,
         "raw_patients": wh_small.resolve("raw_patients"),
         "raw_appointments": wh_small.resolve("raw_appointments"),
-    })
+    }, role=ENGINEER_ROLE)
 
 
 def test_hot_bill_id_dedup_is_exact(wh_small):
