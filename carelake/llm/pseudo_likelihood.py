@@ -1,11 +1,16 @@
 """Masked pseudo-likelihood of documents under a bidirectional window network.
 
 Every word is predicted from the words on both sides: embeddings of the two before and the two after it are summed, a tanh
-layer follows, and a two-step softmax gives first the word's class, then the word in its class.  A document's score is the
-sum of these conditional log-probabilities.
+layer follows, and a two-step softmax gives first the class, then the id in its class.  A document's score is the sum of
+the conditional log-probabilities of its words.
 
-Words are counted over the whole corpus; the most frequent have ids of their own, the others share ids by hash.  The
-network is trained on every word of the corpus: each task runs stochastic gradient steps over its documents from the same
+Words are counted over the whole corpus.  The most frequent have ids of their own, as many as the square root of the
+corpus's words commands; the number and the size of the classes follow.  The others share ids by hash, and such a word's
+probability is that of its id times the word's share in the id (Witten-Bell: a part is left for words not in the corpus,
+spread over byte strings by length).  So neighbours of a rare word bear on its id, counts on the word.  Counts of the more
+frequent words go to the tasks, those of the others are joined in Spark.
+
+The network is trained on every word of the corpus: each task runs stochastic gradient steps over its documents from the same
 start, and weights are averaged, by words seen, with a Spark aggregate.  Each round takes the documents of another hash
 class, so all rounds together take every document once, and what is gathered grows with the corpus.
 """
@@ -14,23 +19,25 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
+from math import isqrt, log
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelake.llm.common import text_key
+from carelake.llm.common import materialize, text_key
 
-#: Ids of words: CLASSES * PER_CLASS, of which SHARED are for words that have none of their own; one more for an edge.
-CLASSES, PER_CLASS, SHARED = 32, 16, 64
-VOCABULARY = CLASSES * PER_CLASS
+#: Words with ids of their own: at least OWN_LEAST, and one for each PER_OWN of the square root of the corpus's words.
+OWN_LEAST, PER_OWN = 448, 8
+#: Words without an id of their own whose counts the tasks hold; counts of the others are joined.
+HELD = 200_000
 SIDE, HIDDEN = 2, 16
 ROUNDS, STEP, RATE = 2, 4096, 0.05
 #: Words in a matrix at once when scoring.
 SCORE_STEP = 1 << 14
 FLUSH = 200_000
-_EDGE = VOCABULARY
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -38,22 +45,52 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
-class Ids(dict):
-    """Word -> id; words without an id of their own share the last SHARED ones by checksum."""
+class Words(NamedTuple):
+    """The words of the corpus: those with ids of their own, by frequency; counts of the next ones; ids in all (a square);
+    of each shared id the words and the distinct words; and ``(word, n)`` of all words."""
+
+    own: list[bytes]
+    held: list[tuple[bytes, int]]
+    size: int
+    shared_n: np.ndarray
+    shared_kinds: np.ndarray
+    counts: DataFrame | None
+
+    def to_tasks(self) -> Words:
+        return self._replace(counts=None)
+
+
+class Codes(dict):
+    """Word -> code.  Words with an id of their own and held ones have a code of their own, the others that of their shared
+    id, from ``unheld`` on.  By code: ``ids``, and ``share``, the log-probability of the word in its id; for unheld words it
+    lacks the logarithm of the count."""
+
+    def __init__(self, words: Words):
+        super().__init__((w, i) for i, w in enumerate(words.own))
+        own, held = len(words.own), words.held
+        self.first, self.shared = words.size - len(words.shared_n), len(words.shared_n)
+        self.update((w, own + i) for i, (w, _) in enumerate(held))
+        self.unheld = self.most = own + len(held)
+        self.most += FLUSH
+        slots = np.array([zlib.crc32(w) % self.shared for w, _ in held], np.int64)
+        base = -np.log(np.maximum(words.shared_n + words.shared_kinds, 1))
+        self.ids = np.concatenate((np.arange(own), self.first + slots, np.arange(self.first, words.size)))
+        self.share = np.concatenate((np.zeros(own), base[slots] + np.log(np.array([n for _, n in held], float)), base))
+        self.left = np.log(np.maximum(words.shared_kinds, 1) * self.shared)
 
-    def __init__(self, top: list[bytes]):
-        super().__init__((w, i) for i, w in enumerate(top))
-        self.own = len(top)
+    def unseen(self, word: bytes) -> float:
+        """In place of the logarithm of its count, for a word not in the corpus."""
+        return self.left[zlib.crc32(word) % self.shared] - (len(word) + 1) * log(257)
 
     def __missing__(self, word: bytes) -> int:
-        i = VOCABULARY - SHARED + zlib.crc32(word) % SHARED
-        if len(self) < self.own + FLUSH:
+        i = self.unheld + zlib.crc32(word) % self.shared
+        if len(self) < self.most:
             self[word] = i
         return i
 
 
-def frequent_words(docs: DataFrame) -> list[bytes]:
-    """The VOCABULARY - SHARED most frequent words of all documents; counted in tasks before the shuffle."""
+def count_words(docs: DataFrame) -> DataFrame:
+    """``(word, n)`` of all documents; counted in tasks before the shuffle."""
 
     def run(batches):
         c: Counter = Counter()
@@ -72,20 +109,38 @@ def frequent_words(docs: DataFrame) -> list[bytes]:
         yield from out()
 
     counts = docs.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.col("n").desc(), "word").limit(VOCABULARY - SHARED).collect()
-    return [bytes(r["word"]) for r in top]
-
-
-def start_weights(seed: int = 3) -> dict[str, np.ndarray]:
-    r = np.random.default_rng(seed)
+    return materialize(counts, "words")
+
+
+def corpus_words(docs: DataFrame) -> Words:
+    counts = count_words(docs)
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    own = max(OWN_LEAST, isqrt(total) // PER_OWN)
+    side = isqrt(own + own // 7 - 1) + 1  # about one id in eight is shared
+    shared = side * side - own
+    top = counts.orderBy(F.col("n").desc(), "word").limit(own + HELD).collect()
+    top = [(bytes(r["word"]), r["n"]) for r in top]
+    of_id = counts.groupBy(F.pmod(F.crc32("word"), F.lit(shared)).alias("slot")).agg(F.sum("n"), F.count("*")).collect()
+    n, kinds = np.zeros(shared, np.int64), np.zeros(shared, np.int64)
+    for slot, words, distinct in of_id:
+        n[slot], kinds[slot] = words, distinct
+    for w, c in top[:own]:
+        n[zlib.crc32(w) % shared] -= c
+        kinds[zlib.crc32(w) % shared] -= 1
+    return Words([w for w, _ in top[:own]], top[own:], side * side, n, kinds, counts)
+
+
+def start_weights(size: int, seed: int = 3) -> dict[str, np.ndarray]:
+    """Of ``size`` ids, and one more for an edge, in as many classes as a class has ids."""
+    r, side = np.random.default_rng(seed), isqrt(size)
     draw = lambda *s: r.normal(0, 0.1, s).astype(np.float32)
     return {
-        "embed": draw(2 * SIDE, VOCABULARY + 1, HIDDEN),
+        "embed": draw(2 * SIDE, size + 1, HIDDEN),
         "hidden": np.zeros(HIDDEN, np.float32),
-        "classes": draw(HIDDEN, CLASSES),
-        "class_bias": np.zeros(CLASSES, np.float32),
-        "words": draw(CLASSES, HIDDEN, PER_CLASS),
-        "word_bias": np.zeros((CLASSES, PER_CLASS), np.float32),
+        "classes": draw(HIDDEN, side),
+        "class_bias": np.zeros(side, np.float32),
+        "words": draw(side, HIDDEN, side),
+        "word_bias": np.zeros((side, side), np.float32),
     }
 
 
@@ -93,17 +148,17 @@ def flat(w: dict[str, np.ndarray]) -> np.ndarray:
     return np.concatenate([w[k].ravel() for k in sorted(w)]).astype(np.float64)
 
 
-def unflat(v: np.ndarray) -> dict[str, np.ndarray]:
+def unflat(v: np.ndarray, size: int) -> dict[str, np.ndarray]:
     out, at = {}, 0
-    for k, a in sorted(start_weights().items()):
+    for k, a in sorted(start_weights(size).items()):
         out[k] = v[at : at + a.size].reshape(a.shape).astype(np.float32)
         at += a.size
     return out
 
 
-def contexts(ids: np.ndarray) -> np.ndarray:
+def contexts(ids: np.ndarray, edge: int) -> np.ndarray:
     """For each word of a text the ids of its neighbours, SIDE on either side (edges have an id of their own)."""
-    padded = np.concatenate((np.full(SIDE, _EDGE), ids, np.full(SIDE, _EDGE)))
+    padded = np.concatenate((np.full(SIDE, edge), ids, np.full(SIDE, edge)))
     n = len(ids)
     return np.stack([padded[d : d + n] for d in (*range(SIDE), *range(SIDE + 1, 2 * SIDE + 1))])
 
@@ -134,17 +189,17 @@ def _hidden(w, ctx):
 
 def _by_class(cls: np.ndarray):
     """Yields (class, places of its words)."""
-    order = np.argsort(cls.astype(np.uint8), kind="stable")
-    ends = np.cumsum(np.bincount(cls, minlength=CLASSES))
+    order = np.argsort(cls.astype(np.uint16), kind="stable")
+    ends = np.cumsum(np.bincount(cls))
     for c, (s, e) in enumerate(zip([0, *ends], ends)):
         if s < e:
             yield c, order[s:e]
 
 
 def log_probabilities(w: dict[str, np.ndarray], ctx: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Conditional log-probability of each word."""
+    """Conditional log-probability of each id."""
     h = _hidden(w, ctx)
-    cls, of = ids // PER_CLASS, ids % PER_CLASS
+    cls, of = np.divmod(ids, len(w["class_bias"]))
     out = _log_softmax_at(w["classes"].T @ h.T + w["class_bias"][:, None], cls)
     for c, some in _by_class(cls):
         a = w["words"][c].T @ np.take(h, some, axis=0).T + w["word_bias"][c][:, None]
@@ -168,7 +223,7 @@ class Trainer:
         w, n = self.w, len(ids)
         self.words += n
         h = _hidden(w, ctx)
-        cls, of = ids // PER_CLASS, ids % PER_CLASS
+        cls, of = np.divmod(ids, len(w["class_bias"]))
         p = _softmax(w["classes"].T @ h.T + w["class_bias"][:, None])
         p[cls, np.arange(n)] -= 1
         dh = p.T @ w["classes"].T
@@ -181,24 +236,27 @@ class Trainer:
             push += [("words", (q @ part).T / n, c), ("word_bias", q.sum(1) / n, c)]
         dh *= 1 - h * h
         push.append(("hidden", dh.sum(0) / n, ...))
-        columns = np.arange(HIDDEN)
+        columns, row = np.arange(HIDDEN), np.empty(w["embed"].shape[1], np.int64)
         for d in range(2 * SIDE):
-            at = (ctx[d][:, None] * HIDDEN + columns).ravel()
-            g = np.bincount(at, dh.ravel(), (VOCABULARY + 1) * HIDDEN).reshape(-1, HIDDEN) / n
-            push.append(("embed", g.astype(np.float32), d))
+            met = np.flatnonzero(np.bincount(ctx[d]))
+            row[met] = np.arange(len(met))
+            at = (row[ctx[d]][:, None] * HIDDEN + columns).ravel()
+            g = np.bincount(at, dh.ravel()).reshape(-1, HIDDEN) / n
+            push.append(("embed", g.astype(np.float32), (d, met)))
         for k, g, at in push:
             self._push(k, g, at)
 
 
-def _id_blocks(batches, ids: Ids, most: int):
-    """Of batches with the text last: (row counts, contexts, ids) of about ``most`` words or one text, in order."""
+def _code_blocks(batches, codes: Codes, most: int):
+    """Of batches with the text last: lists of (batch, row, codes, unheld words), of about ``most`` words or one text, in
+    order."""
     held, size = [], 0
     for b in batches:
         texts = b.column(b.num_columns - 1)
         for i in range(b.num_rows):
             words = words_of(texts[i].as_py())
-            one = np.fromiter(map(ids.__getitem__, words), np.int64, len(words))
-            held.append((b, i, one))
+            one = np.fromiter(map(codes.__getitem__, words), np.int64, len(words))
+            held.append((b, i, one, [words[j] for j in np.flatnonzero(one >= codes.unheld)]))
             size += len(one)
             if size >= most:
                 yield held
@@ -207,20 +265,20 @@ def _id_blocks(batches, ids: Ids, most: int):
         yield held
 
 
-def train(docs: DataFrame, rounds: int = ROUNDS) -> tuple[list[bytes], dict[str, np.ndarray]]:
-    """The frequent words and the weights, from all documents of ``docs(doc_id, text)``."""
-    top = frequent_words(docs)
-    sc, w = docs.sparkSession.sparkContext, start_weights()
+def train(docs: DataFrame, rounds: int = ROUNDS) -> tuple[Words, dict[str, np.ndarray]]:
+    """The corpus's words and the weights, from all documents of ``docs(doc_id, text)``."""
+    words = corpus_words(docs)
+    sc, w = docs.sparkSession.sparkContext, start_weights(words.size)
     for r in range(rounds):
-        shared = sc.broadcast((top, w))
+        shared = sc.broadcast((words.to_tasks(), w))
 
         def run(batches, shared=shared):
-            ids, trainer = Ids(shared.value[0]), Trainer(shared.value[1])
-            for held in _id_blocks(batches, ids, STEP):
-                full = [one for _, _, one in held if len(one)]
+            codes, trainer, edge = Codes(shared.value[0]), Trainer(shared.value[1]), shared.value[0].size
+            for held in _code_blocks(batches, codes, STEP):
+                full = [codes.ids[one] for _, _, one, _ in held if len(one)]
                 if not full:
                     continue
-                ctx, all_ids = np.concatenate([contexts(x) for x in full], axis=1), np.concatenate(full)
+                ctx, all_ids = np.concatenate([contexts(x, edge) for x in full], axis=1), np.concatenate(full)
                 for i in range(0, len(all_ids), 2 * STEP):
                     trainer.step(ctx[:, i : i + 2 * STEP], all_ids[i : i + 2 * STEP])
             if trainer.words:
@@ -234,44 +292,74 @@ def train(docs: DataFrame, rounds: int = ROUNDS) -> tuple[list[bytes], dict[str,
         sums = part.mapInArrow(run, "place int, v double, n long").groupBy("place").agg(
             (F.sum("v") / F.sum("n")).alias("v")
         )
-        got = sums.toPandas()  # a row for each weight, some ten thousands
+        got = sums.toPandas()  # a row for each weight, some 90 for each id
         if len(got):
             v = np.empty(len(got))
             v[got["place"].to_numpy()] = got["v"].to_numpy()
-            w = unflat(v)
-    return top, w
+            w = unflat(v, words.size)
+    return words, w
 
 
-def score(docs: DataFrame, top: list[bytes], w: dict[str, np.ndarray]) -> DataFrame:
+def score(docs: DataFrame, words: Words, w: dict[str, np.ndarray]) -> DataFrame:
     """``(doc_id, n_words, log_likelihood, mean_log_likelihood)`` of every row, over its whole text.
 
     Null, empty and blank texts have no word: sum 0 and no mean.  Repeated rows give repeated rows, an empty table none.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((top, w))
+    shared = docs.sparkSession.sparkContext.broadcast((words.to_tasks(), w))
 
     def run(batches):
-        ids, weights = Ids(shared.value[0]), shared.value[1]
-        for held in _id_blocks(batches, ids, SCORE_STEP):
-            sizes = np.array([len(one) for _, _, one in held])
+        codes, weights, edge = Codes(shared.value[0]), shared.value[1], shared.value[0].size
+        for held in _code_blocks(batches, codes, SCORE_STEP):
+            sizes = np.array([len(one) for _, _, one, _ in held])
             total = np.zeros(len(held))
-            all_ids = np.concatenate([one for _, _, one in held])
-            if len(all_ids):
-                ctx = np.concatenate([contexts(one) for _, _, one in held], axis=1)
+            all_codes = np.concatenate([one for _, _, one, _ in held])
+            if len(all_codes):
+                all_ids = codes.ids[all_codes]
+                ctx = np.concatenate([contexts(codes.ids[one], edge) for _, _, one, _ in held], axis=1)
                 logs = np.concatenate(
                     [
                         log_probabilities(weights, ctx[:, i : i + SCORE_STEP], all_ids[i : i + SCORE_STEP])
                         for i in range(0, len(all_ids), SCORE_STEP)
                     ]
                 ).astype(np.float64)
-                total = np.bincount(np.repeat(np.arange(len(held)), sizes), logs, len(held))
-            mean = [t / n if n else None for t, n in zip(total.tolist(), sizes.tolist())]
-            doc = pa.array([b.column(0)[i].as_py() for b, i, _ in held], held[0][0].column(0).type)
+                total = np.bincount(np.repeat(np.arange(len(held)), sizes), logs + codes.share[all_codes], len(held))
+            unheld = [Counter(rare) for _, _, _, rare in held]
+            ends = np.cumsum([0, *map(len, unheld)])
+            rare = pa.StructArray.from_arrays(
+                [
+                    pa.array([x for c in unheld for x in c], pa.binary()),
+                    pa.array([x for c in unheld for x in c.values()], pa.int64()),
+                    pa.array([codes.unseen(x) for c in unheld for x in c], pa.float64()),
+                ],
+                ["word", "times", "unseen"],
+            )
             yield pa.RecordBatch.from_arrays(
-                [doc, pa.array(sizes), pa.array(total), pa.array(mean, pa.float64())],
-                ["doc_id", "n_words", "log_likelihood", "mean_log_likelihood"],
+                [
+                    pa.array([b.column(0)[i].as_py() for b, i, _, _ in held], pa.int64()),
+                    pa.array([b.column(1)[i].as_py() for b, i, _, _ in held], held[0][0].column(1).type),
+                    pa.array(sizes),
+                    pa.array(total),
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rare),
+                ],
+                ["row", "doc_id", "n_words", "part", "rare"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, n_words long, log_likelihood double, mean_log_likelihood double"
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(
+        run, f"row long, doc_id {kind}, n_words long, part double, rare array<struct<word: binary, times: long, unseen: double>>"
+    )
+    rows = materialize(rows, "scored")  # fixes the numbers of the rows, which are read twice
+    # unheld words lack the logarithm of the count, or, where not in the corpus, that of the part left for them
+    counted = words.counts.select("word", F.log("n").alias("log_n"))
+    rare = rows.select("row", F.explode("rare").alias("r")).select("row", "r.*").join(counted, "word", "left")
+    rare = rare.select(
+        "row",
+        F.lit(None).cast(kind).alias("doc_id"),
+        F.lit(None).cast("long").alias("n_words"),
+        (F.col("times") * F.coalesce("log_n", "unseen")).alias("part"),
+    )
+    summed = rows.drop("rare").unionByName(rare).groupBy("row").agg(
+        F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), F.sum("part").alias("log_likelihood")
     )
+    mean = F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words"))
+    return summed.select("doc_id", "n_words", "log_likelihood", mean.alias("mean_log_likelihood"))

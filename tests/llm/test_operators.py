@@ -184,6 +184,52 @@ def test_pseudo_likelihood_prefers_order(spark, odd):
     assert edge[3, 0] is None and edge[4, 0] is None and edge[9, 18000] < 0
 
 
+@pytest.mark.parametrize("held", [0, 5, 1000])
+def test_pseudo_likelihood_of_each_word_in_a_shared_id(spark, monkeypatch, held):
+    monkeypatch.setattr(pseudo_likelihood, "OWN_LEAST", 4)
+    monkeypatch.setattr(pseudo_likelihood, "HELD", held)
+    texts = [f"The of a to rare{i % 40} rare{i % 7} of" for i in range(300)]
+    words, w = pseudo_likelihood.train(table(spark, [(i, t, "en", "s", 1) for i, t in enumerate(texts)]))
+    count = {}
+    for x in " ".join(texts).lower().encode().split():
+        count[x] = count.get(x, 0) + 1
+    assert {bytes(r.word): r.n for r in words.counts.collect()} == count and len(words.own) > 4
+    slots = len(words.shared_n)
+    slot = lambda x: pseudo_likelihood.zlib.crc32(x) % slots
+    rare = [x for x in count if x not in words.own]
+    n = [sum(count[x] for x in rare if slot(x) == s) for s in range(slots)]
+    kinds = [sum(slot(x) == s for x in rare) for s in range(slots)]
+    new = [next(x for x in (f"junk{i}".encode() for i in range(999)) if slot(x) == s) for s in range(slots)]
+
+    def share(x):
+        total, mine = max(n[slot(x)] + kinds[slot(x)], 1), kinds[slot(x)] or 1
+        return np.log(count.get(x, mine * slots * 257.0 ** -(len(x) + 1)) / total)
+
+    docs = [[x, b"of", x, b"the"] for x in rare + new] + [[], rare + new]
+    own = {x: i for i, x in enumerate(words.own)}
+    want = {}
+    for i, d in enumerate(docs):
+        ids = np.array([own.get(x, words.size - slots + slot(x)) for x in d], np.int64)
+        logs = pseudo_likelihood.log_probabilities(w, pseudo_likelihood.contexts(ids, words.size), ids) if d else np.zeros(0)
+        want[i] = (len(d), logs.sum() + sum(share(x) for x in d if x not in own))
+    rows = [(i, b" ".join(d).decode(), "en", "s", 1) for i, d in enumerate(docs)] + [(0, " ".join(x.decode() for x in docs[0]), "en", "s", 1)]
+    got = pseudo_likelihood.score(table(spark, rows), words, w).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert (r.n_words, r.log_likelihood) == (want[r.doc_id][0], pytest.approx(want[r.doc_id][1], abs=1e-3))
+    for s in range(slots):  # in the same id, a word not in the corpus costs more than any that is
+        assert all(share(x) > share(new[s]) + 10 for x in rare if slot(x) == s)
+
+
+def test_pseudo_likelihood_ids_grow_with_the_corpus(spark, monkeypatch):
+    monkeypatch.setattr(pseudo_likelihood, "OWN_LEAST", 4)
+    monkeypatch.setattr(pseudo_likelihood, "PER_OWN", 1)
+    of = lambda n: spark.createDataFrame([(" ".join(f"w{i * j % 997}" for j in range(50)),) for i in range(n)], "text string")
+    few, many = (pseudo_likelihood.corpus_words(of(n)) for n in (20, 500))
+    assert len(few.own) == 31 and len(many.own) == 158 and many.size == 14**2
+    assert pseudo_likelihood.start_weights(many.size)["words"].shape == (14, pseudo_likelihood.HIDDEN, 14)
+
+
 def test_gam_learns_an_interaction():
     r = np.random.default_rng(4)
     x = r.normal(size=(3000, 4))
