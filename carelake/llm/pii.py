@@ -1,14 +1,19 @@
 """Personal data: exact patterns, and spans that a character model adds.
 
 The model reads characters in classes with a bidirectional LSTM and a CRF over tags (outside, begin and inside of each
-kind), trained in numpy on windows labelled by the patterns (all digits are one class, so none is learned by heart).  A text is cut into
-overlapping windows; each is decoded by itself, and a character takes its tag from the window that holds it nearest its
-middle, so spans that cross a border come out whole.  Spans of every kind hold a digit or an at sign by definition, so a
-window with neither has none and isn't run.
+kind), trained in numpy on windows labelled by the patterns (all digits are one class, so none is learned by heart) and on
+copies of these whose spans are changed so that the patterns miss them: no plus, other marks, at and dot spelled or set
+apart, two numbers side by side.  Where something like a span is in a window and the patterns don't find it, the window is
+no example, so the model isn't taught that it is none.
+
+A text is cut into overlapping windows; each is decoded by itself, and a character takes its tag from the window that holds
+it nearest its middle, so spans that cross a border come out whole.  Spans of every kind hold a digit, an at sign or a dot
+that is spelled or in brackets, so a window with none of these isn't run.
 """
 
 from __future__ import annotations
 
+import random
 import re
 from functools import reduce
 
@@ -24,7 +29,9 @@ KINDS = ("email", "ip", "card", "phone")
 WIDTH, STEP = 96, 48
 #: Bounds of the sample the model is trained on: windows with spans of each kind, and with digits but no span.
 MAX_SPANNED, MAX_OTHER = 600, 600
-HIDDEN, STEPS, BATCH, LEARN = 16, 300, 64, 0.01
+#: Copies with changed spans of each window with a whole span.
+COPIES = 2
+HIDDEN, STEPS, BATCH, LEARN = 16, 500, 64, 0.01
 #: Least mean posterior of the tags of a span that the model adds.
 SURE = 0.9
 
@@ -35,6 +42,17 @@ _card = re.compile(r"[0-9](?:[\x20-]?[0-9])+").finditer
 _phone = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]").finditer
 _digits = re.compile(r"[^0-9]+")
 _trigger = re.compile(r"[0-9@]")
+_digit = re.compile(r"[0-9]{2}").fullmatch
+_hint = re.compile(r"[0-9@]|\b[Dd][Oo][Tt]\b|[\[(]\.[\])]")
+_spelled = re.compile(r"\b(?:(at)|dot)\b", re.I)
+#: What may be a span: an at sign, at and dot spelled or in brackets, seven digits or more that marks set apart.
+_maybe = re.compile(
+    r"@|\bat\b.{1,40}?(?:\bdot\b|[\[(]\.[\])])"
+    r"|(?<![0-9A-Za-z_])[0-9](?:(?:[\x20().\[\]/-]{1,3}|\x20?\bdot\b\x20?)?[0-9]){6,}(?![0-9A-Za-z_])",
+    re.I,
+)
+_date = re.compile(r"(?<![0-9])(?:(?:19|20)[0-9]{2}([-./])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([-./])[0-9]{1,2}\2[0-9]{4})(?![0-9])")
+_address = re.compile(r".+(?:@.+|\bat\b.*(?:\bdot\b|\.).+)", re.I | re.S)
 
 
 def luhn(digits: str) -> bool:
@@ -77,9 +95,9 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 # characters by class: 0 none, digits 1, vowels 2, other small letters 3, capitals 4, other letters 5, white space 6,
-# each of these marks its own, other 7
+# each of these marks its own, the words at and dot their own, other 7
 _MARKS = "@.+-()_%:/#$&*,!|"
-N_CLASSES = 8 + len(_MARKS)
+N_CLASSES = 10 + len(_MARKS)
 N_TAGS = 1 + 2 * len(KINDS)
 
 
@@ -109,7 +127,10 @@ _CLASS = _table()
 
 def classes(text: str) -> np.ndarray:
     code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    return np.where(code < len(_CLASS), _CLASS[np.minimum(code, len(_CLASS) - 1)], 5)
+    out = np.where(code < len(_CLASS), _CLASS[np.minimum(code, len(_CLASS) - 1)], 5)
+    for m in _spelled.finditer(text):
+        out[m.start() : m.end()] = N_CLASSES - 2 if m[1] else N_CLASSES - 1
+    return out
 
 
 def _sigmoid(x):
@@ -239,8 +260,8 @@ class Tagger:
 
 
 def windows(text: str) -> list[int]:
-    """Starts of the overlapping windows of a text that hold a digit or an at sign."""
-    hits = [m.start() for m in _trigger.finditer(text)]
+    """Starts of the overlapping windows of a text that hold a digit, an at sign or a dot that is spelled or in brackets."""
+    hits = [m.start() for m in _hint.finditer(text)]
     out: list[int] = []
     for at in hits:
         first = max(0, (at - WIDTH) // STEP + 1)
@@ -303,16 +324,21 @@ def _reconcile(text, starts, tags, sure):
     edges = np.flatnonzero(cut)
     spans = []
     for s, e in zip(edges[:-1], edges[1:]):
-        if kind[s] and p[s:e].mean() >= SURE and _plausible(KINDS[kind[s] - 1], text[place[s] : place[e - 1] + 1]):
-            spans.append((KINDS[kind[s] - 1], int(place[s]), int(place[e - 1]) + 1))
+        start, end = int(place[s]), int(place[e - 1]) + 1
+        if not kind[s] or p[s:e].mean() < SURE or _digit(text[max(start - 1, 0) : start + 1]) or _digit(text[end - 1 : end + 1]):
+            continue
+        if _plausible(KINDS[kind[s] - 1], text[start:end]):
+            spans.append((KINDS[kind[s] - 1], start, end))
     return spans
 
 
 def _plausible(kind: str, span: str) -> bool:
-    """What any span of the kind has: an address an at sign inside, the others enough digits."""
+    """What any span of the kind has: an address an at and something after it, a card its check digit, the others enough
+    digits."""
     if kind == "email":
-        return "@" in span[1:-1]
-    return len(_digits.sub("", span)) >= {"ip": 4, "card": 13, "phone": 9}[kind]
+        return bool(_address.fullmatch(span))
+    digits = _digits.sub("", span)
+    return 12 <= len(digits) <= 19 and luhn(digits) if kind == "card" else len(digits) >= {"ip": 4, "phone": 7}[kind]
 
 
 def all_spans(text: str, added: list[tuple[str, int, int]]) -> tuple[list, list]:
@@ -331,9 +357,64 @@ def _tags(spans, start: int) -> list[int]:
     return y
 
 
+def _unclear(text: str, spans) -> list[tuple[int, int]]:
+    """Places of what may be a span and overlaps none of the spans; dates and, next to letters, digits are none."""
+    got = [(m.start(), m.end()) for m in _maybe.finditer(_date.sub(lambda m: "x" * len(m[0]), text))]
+    return [g for g in got if not any(g[0] < e and s < g[1] for _, s, e in spans)]
+
+
+def _changed(kind: str, span: str, r: random.Random) -> list[tuple[str, str]]:
+    """The span in a form that the patterns miss, as (text, kind or "") in order."""
+    if kind == "email":
+        at, dot = r.choice([" at ", " (at) ", "[at]", "(at)", " @ ", " AT "]), r.choice([" dot ", " (dot) ", "[dot]", "[.]", "(dot)", " DOT "])
+        local, _, domain = span.partition("@")
+        if r.random() < 0.6:  # names and hosts of other shapes
+            local = local[: r.randint(min(3, len(local)), len(local))].rstrip("0123456789._%+-") or local
+        if r.random() < 0.6:
+            domain = re.sub("[0-9]", "", domain) if r.random() < 0.5 else domain
+            domain = ".".join(domain.split(".")[-2:])
+        return [((local.replace(".", dot) if r.random() < 0.3 else local) + at + domain.replace(".", dot), kind)]
+    if kind == "ip":
+        return [(span.replace(".", r.choice([" . ", "[.]", "(.)", " dot ", " dot "])), kind)]
+    d = _digits.sub("", span)
+    if kind == "phone":
+        land, a, b, c, mark = d[:-10], d[-10:-7], d[-7:-4], d[-4:], r.choice("-. -")
+        forms = [f"{b}{mark}{c}", f"({a}) {b}{mark}{c}", mark.join((a, b, c)), f"({a}){b}-{c}", f"{a} {b}{c}"]
+        if land:
+            forms += [mark.join((land, a, b, c)), f"{land} ({a}) {b}{mark}{c}", f"00{land} {a} {b} {c}"]
+        return [(r.choice(forms), kind)]
+    groups = lambda x, mark: mark.join(x[i : i + 4] for i in range(0, len(x), 4))
+    if r.random() < 0.3:
+        return [(groups(d, r.choice([".", " - ", "/"])), kind)]
+    other = "".join(r.choice("0123456789") for _ in d)
+    two, mark = [d, other] if r.random() < 0.5 else [other, d], r.choice(["", "", "", " ", "-"])
+    return [(groups(two[0], mark), kind), (r.choice([" ", " ", "-"]), ""), (groups(two[1], mark), kind)]
+
+
+def changed_copy(piece: str, y: list[int], r: random.Random) -> tuple[str, list[int]] | None:
+    """The piece, tags along, with its whole spans in forms that the patterns miss; None if it has none."""
+    text, tags, at, any_whole = "", [], 0, False
+    while at < len(piece):
+        end = at + 1
+        if y[at] % 2:
+            while end < len(piece) and y[end] == y[at] + 1:
+                end += 1
+        if y[at] % 2 and end < WIDTH:
+            any_whole = True
+            for part, kind in _changed(KINDS[y[at] // 2], piece[at:end], r):
+                text += part
+                tags += [y[at], *[y[at] + 1] * (len(part) - 1)] if kind else [0] * len(part)
+        else:
+            text += piece[at:end]
+            tags += y[at:end]
+        at = end
+    return (text[:WIDTH], (tags + [0] * WIDTH)[:WIDTH]) if any_whole else None
+
+
 def train(docs: DataFrame, spanned: int = MAX_SPANNED, other: int = MAX_OTHER) -> Tagger | None:
     """Train on windows of ``docs(text)`` labelled by the patterns: of each kind the ``spanned`` of smallest hash, and
-    ``other`` with digits but no span.  None if no window has a span."""
+    ``other`` with digits but no span, none that hold something unclear; and on copies with changed spans.  None if no
+    window has a span."""
 
     def run(batches):
         for b in batches:
@@ -343,7 +424,10 @@ def train(docs: DataFrame, spanned: int = MAX_SPANNED, other: int = MAX_OTHER) -
                 if not (starts := windows(text)):
                     continue
                 spans = base_spans(text)
+                unclear = _unclear(text, spans)
                 for s in starts:
+                    if any(u < s + WIDTH and v > s for u, v in unclear):
+                        continue
                     inside = [x for x in spans if x[1] < s + WIDTH and x[2] > s]
                     out.append((text[s : s + WIDTH], inside[0][0] if inside else "", _tags(inside, s)))
             yield pa.RecordBatch.from_arrays(
@@ -364,9 +448,11 @@ def train(docs: DataFrame, spanned: int = MAX_SPANNED, other: int = MAX_OTHER) -
     got = reduce(DataFrame.unionAll, parts).toPandas().sort_values("piece")  # at most 4 * spanned + other rows
     if not (got["kind"] != "").any():
         return None
-    x = np.concatenate([_matrix(classes(p), [0]) for p in got["piece"]])
-    y = np.array(got["y"].tolist(), np.int64)
-    return Tagger().fit(x, y)
+    pieces = [(p, [int(t) for t in y]) for p, y in zip(got["piece"], got["y"])]
+    copies = [changed_copy(p, y, random.Random(f"{i} {p}")) for p, y in pieces for i in range(COPIES)]
+    pieces += [c for c in copies if c]
+    x = np.concatenate([_matrix(classes(p), [0]) for p, _ in pieces])
+    return Tagger().fit(x, np.array([y for _, y in pieces], np.int64))
 
 
 def find(docs: DataFrame, tagger: Tagger | None) -> DataFrame:

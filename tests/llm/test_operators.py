@@ -319,6 +319,44 @@ def test_tagger_learns_and_windows_agree(spark, odd):
     assert pii.train(odd.where("doc_id = 1")) is None
 
 
+def test_tagger_finds_spans_that_the_patterns_miss(spark):
+    r = np.random.default_rng(8)
+    filler = lambda n: " ".join("".join(r.choice(list("abcdefghinorst"), int(r.integers(2, 9)))) for _ in range(n))
+    digits = lambda n: "".join(r.choice(list("0123456789"), n))
+    name = lambda: "".join(r.choice(list("abcdefghinorst"), int(r.integers(3, 9))))
+
+    def card():
+        d = "4" + digits(14)
+        return next(d + c for c in "0123456789" if pii.luhn(d + c))
+
+    known = {
+        "email": lambda: f"{name()}.{digits(2)}@mail{digits(1)}.example.com", "phone": lambda: f"+1 ({digits(3)}) 555-{digits(4)}",
+        "card": card, "ip": lambda: ".".join(str(r.integers(256)) for _ in range(4)),
+    }
+    plain = lambda: f"{r.integers(1900, 2030)}-{r.integers(10, 13)}-{r.integers(10, 29)} {digits(3)} x{digits(5)}ef dot {digits(2)} at"
+    rows = [(i, f"{filler(9)} {known[k]()} {filler(9)}", "en", "s", 1) for i, k in enumerate([*known] * 80)]
+    rows += [(1000 + i, f"{filler(8)} {plain()} {filler(12)}", "en", "s", 1) for i in range(150)]
+    tagger = pii.train(table(spark, rows))
+    new = {
+        "email": lambda: f"{name()} at {name()} dot com", "phone": lambda: f"{digits(3)}-{digits(3)}-{digits(4)}",
+        "phone of 7": lambda: f"555-{digits(4)}", "card": card, "ip": lambda: known["ip"]().replace(".", "[.]"),
+    }
+    found, of = {}, {}
+    for k in new:
+        texts, at = [], []
+        for _ in range(40):
+            before, span = f"{filler(7)} ", new[k]()
+            texts.append(f"{before}{span}{' ' + digits(16) if k == 'card' else ''} {filler(8)}")
+            at.append((k.split()[0], len(before), len(before) + len(span)))
+        assert not any(pii.base_spans(t) for t in texts)
+        found[k] = sum(a in pii.all_spans(t, m)[1] for t, a, m in zip(texts, at, pii.model_spans(texts, tagger)))
+        of[k] = len(texts)
+    wrong = [t for t in (f"{filler(8)} {plain()} {filler(9)}" for _ in range(40))]
+    n_wrong = sum(map(bool, pii.model_spans(wrong, tagger)))
+    print("held-out spans beyond the patterns:", found, "of", of, "plain texts with a span:", n_wrong)
+    assert all(found[k] >= 0.7 * of[k] for k in new) and n_wrong <= 4
+
+
 @pytest.mark.parametrize(
     "run",
     [
