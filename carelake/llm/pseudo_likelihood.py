@@ -10,8 +10,9 @@ probability is that of its id times the word's share in the id (Witten-Bell: a p
 spread over byte strings by length).  So neighbours of a rare word bear on its id, counts on the word.  Counts of the more
 frequent words go to the tasks, those of the others are joined in Spark.
 
-The network is trained on every word of the corpus: each task runs stochastic gradient steps over its documents from the same
-start, and weights are averaged, by words seen, with a Spark aggregate.  Each round takes the documents of another hash
+The network is trained on every word of the corpus: documents are dealt to shards of about as many words at any size and
+layout of the table, a task runs stochastic gradient steps over its shard from the same start, and weights are averaged, by
+words seen, with a Spark aggregate.  Each round takes the documents of another hash
 class, so all rounds together take every document once, and what is gathered grows with the corpus.
 """
 
@@ -35,6 +36,8 @@ OWN_LEAST, PER_OWN = 448, 8
 HELD = 200_000
 SIDE, HIDDEN = 2, 16
 ROUNDS, STEP, RATE = 2, 4096, 0.05
+#: Words that a task trains on, about, between two averages.
+SHARD = 1 << 22
 #: Words in a matrix at once when scoring.
 SCORE_STEP = 1 << 14
 FLUSH = 200_000
@@ -54,10 +57,11 @@ class Words(NamedTuple):
     size: int
     shared_n: np.ndarray
     shared_kinds: np.ndarray
+    total: int
     counts: DataFrame | None
 
-    def to_tasks(self) -> Words:
-        return self._replace(counts=None)
+    def to_tasks(self, held: bool = True) -> Words:
+        return self._replace(counts=None, held=self.held if held else [])
 
 
 class Codes(dict):
@@ -127,7 +131,7 @@ def corpus_words(docs: DataFrame) -> Words:
     for w, c in top[:own]:
         n[zlib.crc32(w) % shared] -= c
         kinds[zlib.crc32(w) % shared] -= 1
-    return Words([w for w, _ in top[:own]], top[own:], side * side, n, kinds, counts)
+    return Words([w for w, _ in top[:own]], top[own:], side * side, n, kinds, total, counts)
 
 
 def start_weights(size: int, seed: int = 3) -> dict[str, np.ndarray]:
@@ -247,16 +251,16 @@ class Trainer:
             self._push(k, g, at)
 
 
-def _code_blocks(batches, codes: Codes, most: int):
+def _code_blocks(batches, codes: Codes, most: int, rare: bool):
     """Of batches with the text last: lists of (batch, row, codes, unheld words), of about ``most`` words or one text, in
-    order."""
+    order.  Without ``rare`` no unheld words are listed."""
     held, size = [], 0
     for b in batches:
         texts = b.column(b.num_columns - 1)
         for i in range(b.num_rows):
             words = words_of(texts[i].as_py())
             one = np.fromiter(map(codes.__getitem__, words), np.int64, len(words))
-            held.append((b, i, one, [words[j] for j in np.flatnonzero(one >= codes.unheld)]))
+            held.append((b, i, one, [words[j] for j in np.flatnonzero(one >= codes.unheld).tolist()] if rare else []))
             size += len(one)
             if size >= most:
                 yield held
@@ -270,11 +274,11 @@ def train(docs: DataFrame, rounds: int = ROUNDS) -> tuple[Words, dict[str, np.nd
     words = corpus_words(docs)
     sc, w = docs.sparkSession.sparkContext, start_weights(words.size)
     for r in range(rounds):
-        shared = sc.broadcast((words.to_tasks(), w))
+        shared = sc.broadcast((words.to_tasks(held=False), w))
 
         def run(batches, shared=shared):
             codes, trainer, edge = Codes(shared.value[0]), Trainer(shared.value[1]), shared.value[0].size
-            for held in _code_blocks(batches, codes, STEP):
+            for held in _code_blocks(batches, codes, STEP, rare=False):
                 full = [codes.ids[one] for _, _, one, _ in held if len(one)]
                 if not full:
                     continue
@@ -289,6 +293,7 @@ def train(docs: DataFrame, rounds: int = ROUNDS) -> tuple[Words, dict[str, np.nd
                 )
 
         part = docs.select("text").where(F.pmod(text_key(F.col("text")), F.lit(rounds)) == r)
+        part = part.repartition(max(1, -(-words.total // (rounds * SHARD))))
         sums = part.mapInArrow(run, "place int, v double, n long").groupBy("place").agg(
             (F.sum("v") / F.sum("n")).alias("v")
         )
@@ -309,7 +314,7 @@ def score(docs: DataFrame, words: Words, w: dict[str, np.ndarray]) -> DataFrame:
 
     def run(batches):
         codes, weights, edge = Codes(shared.value[0]), shared.value[1], shared.value[0].size
-        for held in _code_blocks(batches, codes, SCORE_STEP):
+        for held in _code_blocks(batches, codes, SCORE_STEP, rare=True):
             sizes = np.array([len(one) for _, _, one, _ in held])
             total = np.zeros(len(held))
             all_codes = np.concatenate([one for _, _, one, _ in held])

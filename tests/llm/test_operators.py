@@ -184,6 +184,26 @@ def test_pseudo_likelihood_prefers_order(spark, odd):
     assert edge[3, 0] is None and edge[4, 0] is None and edge[9, 18000] < 0
 
 
+def test_pseudo_likelihood_does_not_hang_on_the_file_layout(spark):
+    r = np.random.default_rng(7)
+    text = lambda: " ".join(w for _ in range(60) for w in ("the", f"n{r.integers(5)}", "of", f"m{r.integers(5)}"))
+    docs = table(spark, [(i, text(), "en", "s", 1) for i in range(1200)])
+    rows = []
+    for i in range(20):
+        words = text().split()
+        some = r.permutation(len(words))[: i * 12]
+        for a, b in zip(some, r.permutation(some)):
+            words[a], words[b] = words[b], words[a]
+        rows.append((i, " ".join(words), "en", "s", 1))
+    order = []
+    for n in (1, 50):
+        got = pseudo_likelihood.score(table(spark, rows), *pseudo_likelihood.train(docs.repartition(n))).collect()
+        of = {x.doc_id: x.mean_log_likelihood for x in got}
+        assert of[0] > of[19] + 0.5
+        order.append(np.argsort(np.argsort([of[i] for i in range(20)])))
+    assert np.corrcoef(*order)[0, 1] > 0.95
+
+
 @pytest.mark.parametrize("held", [0, 5, 1000])
 def test_pseudo_likelihood_of_each_word_in_a_shared_id(spark, monkeypatch, held):
     monkeypatch.setattr(pseudo_likelihood, "OWN_LEAST", 4)
