@@ -200,7 +200,8 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> Model
     )
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "y", "text")  # most rows
     kind = docs.schema["doc_id"].dataType.simpleString()
-    got = _featured(rows, f"doc_id {kind}, y int").orderBy("doc_id", "y", "x").limit(most).toPandas()
+    found = _featured(rows, f"doc_id {kind}, y int").orderBy(F.xxhash64("doc_id"), "doc_id", "y", "x").limit(most)
+    got = found.orderBy("doc_id", "y", "x").toPandas()
     x = np.array(got["x"].tolist(), float).reshape(-1, len(FEATURES))
     return fit(x, got["y"].to_numpy(float))
 

@@ -259,6 +259,18 @@ def test_gam_learns_an_interaction():
     assert quality_gam.fit(np.zeros((0, 4)), np.zeros(0)).score(x).shape == (3000,)
 
 
+def test_quality_sample_of_repeated_rows_is_by_hash(spark, monkeypatch):
+    monkeypatch.setattr(quality_gam, "fit", lambda x, y: (x, y))
+    text = lambda i: "word " * (i + 1)
+    docs = spark.createDataFrame([(i, text(i)) for i in range(60) for _ in range(3)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    by_hash = [r.doc_id for r in labels.orderBy(F.xxhash64("doc_id")).collect()][:10]
+    x, y = quality_gam.train(docs, labels, most=30)
+    want = sorted(tuple(quality_gam.features(text(i))) + (i % 2,) for i in by_hash for _ in range(3))
+    got = sorted((*a, b) for a, b in zip(x.tolist(), y.tolist()))
+    assert np.allclose(got, want)
+
+
 def test_quality_scores_odd_rows(spark, odd):
     labels = spark.createDataFrame([(1, 1), (4, 0), (9, 1), (None, 0), (10, None)], "doc_id long, quality int")
     got = quality_gam.score(odd, quality_gam.train(odd, labels)).collect()
