@@ -123,5 +123,15 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from carelake.llm.packing import pack, pieces_of
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    pieces = pieces_of(_table(spark, sf_dir, "documents"), path, with_ids=False).drop("ids")
+    return pack(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
