@@ -133,5 +133,11 @@ def op11_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from carelake.llm.whitening import whiten
+
+    return whiten(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
