@@ -139,5 +139,20 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(_table(spark, sf_dir, "embeddings"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as public
+
+    from carelake.llm.alignment import align
+
+    out = align(
+        _table(spark, sf_dir, "documents"),
+        public.path("byte_bpe_50k.json"),
+        public.path("piece_bpe_32k.model"),
+        ranks_a=public.path("byte_bpe_50k.tiktoken"),
+        pattern_a=public.PATTERN,
+    )
+    return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
