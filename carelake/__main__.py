@@ -4,6 +4,7 @@
   stream   <landing> <root> [--every]  ingest pending files (availableNow), or keep running
                                        with a processing-time trigger (e.g. --every "5 minutes")
   refresh  <root>                      rebuild the MART snapshots from stored CORE
+  retain   <root>                      compact CORE and delete versions, states and snapshots of the past
   query    <root> <name> [--role R]    show a registered query over the stored warehouse
   list                                 names of the registered queries
 
@@ -28,8 +29,11 @@ def main(argv=None) -> int:
     s.add_argument("landing")
     s.add_argument("root")
     s.add_argument("--every", default=None)
+    s.add_argument("--max-files", type=int, default=None, help="files of a micro-batch, so that a backlog comes in parts")
     r = sub.add_parser("refresh")
     r.add_argument("root")
+    t = sub.add_parser("retain")
+    t.add_argument("root")
     q = sub.add_parser("query")
     q.add_argument("root")
     q.add_argument("name")
@@ -57,17 +61,21 @@ def main(argv=None) -> int:
 
         if args.every:
             queries = [start_ingest(spark, args.landing, args.root, d, trigger={"processingTime": args.every},
-                                    incremental=True)
+                                    incremental=True, max_files_per_trigger=args.max_files)
                        for d in ("patients", "appointments", "billing")]
             spark.streams.awaitAnyTermination()
             for x in queries:
                 x.stop()
         else:
-            print(run_available(spark, args.landing, args.root))
+            print(run_available(spark, args.landing, args.root, max_files_per_trigger=args.max_files))
     elif args.cmd == "refresh":
         from carelake.pipeline import refresh_mart
 
         refresh_mart(spark, args.root)
+    elif args.cmd == "retain":
+        from carelake.retention import retain
+
+        print(retain(spark, args.root))
     elif args.cmd == "query":
         wh = Warehouse.from_storage(spark, args.root, role=args.role)
         catalog()[args.name](wh).show(args.rows, truncate=False)

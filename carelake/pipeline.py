@@ -5,8 +5,11 @@ are the lineage cut for the rest of the batch (a lost executor recomputes
 from parquet, never from the original files).  Patients are merged before
 appointments and billing (X14).  The MART refresh writes every computed
 table from the stored CORE; facts and the patient dimension are projections
-of CORE resolved at read time (CORE is clustered by date and department
-inside each bucket, so their date filters prune).
+of CORE resolved at read time (CORE files are ordered by date and department,
+so their date filters prune).
+
+A load's number orders it among all loads: CORE keeps the row of the highest
+number for each key, whichever of them is finished, replayed or repeated last.
 """
 
 from __future__ import annotations
@@ -20,14 +23,16 @@ from pyspark.sql.types import StructType
 from carelake.constants import DOMAINS
 from carelake.jobs import run_concurrently
 from carelake.operators import clean as C
-from carelake.operators.merge import merge_into_path
 from carelake.plans.registry import MART_SNAPSHOTS
-from carelake.schemas import KEYS, RAW_COLUMNS
-from carelake.sources import batches
-from carelake.sources.sinks import exists, mark_core_change, write_exceptions, write_partitioned, write_raw, write_snapshot
+from carelake.schemas import RAW_COLUMNS
+from carelake.sources import batches, versioned
+from carelake.sources.sinks import delete, exists, mark_core_change, write_exceptions, write_partitioned, write_raw, write_snapshot
+from carelake.sources.tables import core_table
 
+#: Kept for callers of the bucketed layout; CORE is no longer divided by key hash.
 DEFAULT_BUCKETS = 16
-CORE_SORT = {"patients": [], "appointments": ["appt_date", "department"], "billing": ["bill_date", "department"]}
+#: Deltas that a CORE table gathers before a load compacts it.
+MAX_DELTAS = 16
 
 
 def _read_batch(spark: SparkSession, path: str, schema: StructType, batch_id: int) -> DataFrame:
@@ -62,9 +67,8 @@ def apply_load(spark: SparkSession, root: str, domain: str, landed: DataFrame, b
                n_buckets: int = DEFAULT_BUCKETS, incremental: bool = False, load_once: bool = False) -> None:
     """Land, clean and merge the batch with the claimed id ``batch_id`` (the body of a load or micro-batch).
 
-    With ``incremental`` the MERGE records the rows it replaces and the
-    additive MART aggregates absorb the batch as a delta
-    (:mod:`carelake.streaming.incremental`); a root that keeps this state has
+    With ``incremental`` the kept aggregates absorb what the MERGE changed
+    (:mod:`carelake.streaming.incremental`); a root that keeps them has
     every load absorbed.  With ``load_once`` the rows of landing files that
     another load has committed are left out (S8).
     """
@@ -87,18 +91,19 @@ def apply_load(spark: SparkSession, root: str, domain: str, landed: DataFrame, b
             C.clean(domain, prepared).withColumn("batch_id", F.lit(batch_id).cast("bigint")), staged, ["batch_id"]),
     }, 2)
     batch = _read_batch(spark, staged, C.clean(domain, prepared).schema, batch_id).drop("batch_id")
-    replaced = f"{root}/_changes/{domain}/batch_id={batch_id}" if incremental else None
-    merge_into_path(spark, f"{root}/core/{domain}", batch, KEYS[domain], n_buckets, CORE_SORT[domain], replaced)
+    table = core_table(root, domain)
+    versioned.merge(spark, table, batch, batch_id)
     mark_core_change(spark, root, domain)
     if incremental:
-        from carelake.sources.sinks import committed
-        from carelake.streaming.incremental import apply_batch
+        from carelake.streaming.incremental import advance
 
-        old = spark.read.parquet(replaced) if committed(spark, replaced) else None
-        apply_batch(spark, root, domain, batch_id, batch, old)
+        advance(spark, root, domain)
+    if len((versioned.entry(spark, table.path) or {"deltas": ()})["deltas"]) >= MAX_DELTAS:
+        versioned.compact(spark, table)
     if load_once:
-        batches.record_files(spark, root, domain, raw)
+        batches.record_files(spark, root, domain, raw, batch_id)
     batches.mark_done(spark, root, batch_id)
+    delete(spark, f"{staged}/batch_id={batch_id}")
 
 
 def has_state(spark: SparkSession, root: str, domain: str) -> bool:
@@ -107,6 +112,11 @@ def has_state(spark: SparkSession, root: str, domain: str) -> bool:
     return any(latest_state(spark, root, name) is not None for name in specs_for(domain))
 
 
+def compact_core(spark: SparkSession, root: str) -> dict[str, int | None]:
+    """Fold the deltas of every CORE table into its base files (maintenance, apart from the loads)."""
+    return {d: versioned.compact(spark, core_table(root, d)) for d in DOMAINS}
+
+
 def ingest_all(spark: SparkSession, root: str, landed: dict[str, DataFrame], load_key: str | int | None = None,
                n_buckets: int = DEFAULT_BUCKETS, parallel: bool = True, incremental: bool = False,
                load_once: bool = False) -> None:

@@ -37,10 +37,13 @@ def dim_patient(wh) -> DataFrame:
 
 def dim_doctor(wh) -> DataFrame:
     """Latest name and department per doctor (tie-break appt_id desc)."""
-    a = wh.resolve("core_appointments").filter(
-        F.col("doctor_id").isNotNull() & F.col("doctor_name").isNotNull()
-    ).select("doctor_id", "appt_date", "appt_id", "doctor_name", "department")
-    latest = first_per_key(a, "doctor_id", [desc("appt_date"), desc("appt_id")])
+    if wh.holds("latest_doctor"):
+        latest = wh.resolve("latest_doctor")
+    else:
+        a = wh.resolve("core_appointments").filter(
+            F.col("doctor_id").isNotNull() & F.col("doctor_name").isNotNull()
+        ).select("doctor_id", "appt_date", "appt_id", "doctor_name", "department")
+        latest = first_per_key(a, "doctor_id", [desc("appt_date"), desc("appt_id")])
     return latest.select(
         F.col("doctor_id").alias("doctor_key"),
         "doctor_id",
@@ -88,8 +91,8 @@ def dim_date(wh) -> DataFrame:
     are generated with ``sequence`` + ``explode``: size grows with the number
     of calendar days, not with the facts.
     """
-    a = wh.resolve("fact_appointment").select(F.col("appt_date").alias("d"))
-    b = wh.resolve("fact_billing").select(F.col("bill_date").alias("d"))
+    a = wh.resolve("agg_day_doctor" if wh.holds("agg_day_doctor") else "fact_appointment").select(F.col("appt_date").alias("d"))
+    b = wh.resolve("agg_service_day" if wh.holds("agg_service_day") else "fact_billing").select(F.col("bill_date").alias("d"))
     span = a.unionByName(b).agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
     days = span.filter(F.col("lo").isNotNull()).select(
         F.explode(F.sequence("lo", "hi", F.expr("interval 1 day"))).alias("full_date")
@@ -110,14 +113,15 @@ def dim_date(wh) -> DataFrame:
 
 def dim_service(wh) -> DataFrame:
     """Latest description per service code (X2: service_key = service_code)."""
-    b = wh.resolve("fact_billing").select("service_code", "bill_date", "service_desc")
+    b = wh.resolve("agg_service_day" if wh.holds("agg_service_day") else "fact_billing").select(
+        "service_code", "bill_date", "service_desc")
     latest = first_per_key(b, "service_code", [desc("bill_date"), asc("service_desc")])
     return latest.select(F.col("service_code").alias("service_key"), "service_code", "service_desc")
 
 
 def dim_department(wh) -> DataFrame:
     """Every department named by either fact."""
-    a = wh.resolve("fact_appointment").select("department")
-    b = wh.resolve("fact_billing").select("department")
+    a = wh.resolve("dt_dept_appt" if wh.holds("dt_dept_appt") else "fact_appointment").select("department")
+    b = wh.resolve("mv_monthly_revenue" if wh.holds("mv_monthly_revenue") else "fact_billing").select("department")
     d = a.unionByName(b).filter(F.col("department").isNotNull()).distinct()
     return d.select(F.col("department").alias("department_key"), "department")

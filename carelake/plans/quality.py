@@ -83,12 +83,12 @@ def fk_valid_billing(wh) -> DataFrame:
 
 
 def fk_orphans(wh) -> DataFrame:
-    """Fact rows whose patient is not in the patient dimension."""
-    dim = wh.table("dim_patient")
-    a = _orphans(wh.table("fact_appointment"), dim, "patient_key").select(
-        F.lit("FACT_APPOINTMENT").alias("fact_table"), F.col("appt_id").alias("record_id"), "patient_key"
-    )
-    b = _orphans(wh.table("fact_billing"), dim, "patient_key").select(
-        F.lit("FACT_BILLING").alias("fact_table"), F.col("bill_id").alias("record_id"), "patient_key"
-    )
-    return a.unionByName(b)
+    """Fact rows whose patient is not in the patient dimension; from the ledgers that loads keep, where stored."""
+    parts = []
+    for fact, ledger, key in (("fact_appointment", "orphans_appointments", "appt_id"), ("fact_billing", "orphans_billing", "bill_id")):
+        if wh.holds(ledger):
+            rows = wh.table(ledger).select("record_id", "patient_key")
+        else:
+            rows = _orphans(wh.table(fact), wh.table("dim_patient"), "patient_key").select(F.col(key).alias("record_id"), "patient_key")
+        parts.append(rows.select(F.lit(fact.upper()).alias("fact_table"), "record_id", "patient_key"))
+    return _union(parts)

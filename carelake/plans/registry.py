@@ -1,7 +1,7 @@
 """Table builders (what a Warehouse can derive) and query catalogue."""
 
 from carelake.constants import DOMAINS
-from carelake.plans import core, dashboards, kpi, mart, matviews, quality, views, visuals
+from carelake.plans import core, counted, dashboards, kpi, mart, matviews, quality, views, visuals
 
 BUILDERS = {}
 for _d in DOMAINS:
@@ -19,6 +19,10 @@ for _f in (visuals.dt_dept_appt, visuals.dt_payment_revenue, visuals.dt_monthly_
            visuals.dt_demographics, visuals.dt_appt_status, visuals.dt_top_doctors,
            matviews.mv_monthly_revenue, matviews.mv_dept_appt_monthly):
     BUILDERS[_f.__name__] = _f
+# ... counted groups ...
+for _f in (counted.agg_patient_day, counted.agg_day_doctor, counted.agg_doctor_patient, counted.agg_patient_billing,
+           counted.agg_service_day):
+    BUILDERS[_f.__name__] = _f
 # ... and views (always lazy).
 for _f in (views.vw_patient_utilization, views.vw_daily_opd_trend, views.vw_doctor_performance,
            views.vw_revenue_by_department, views.vw_no_show_analysis, views.vw_patient_demographics,

@@ -9,15 +9,26 @@ from carelake.functions.metrics import avg_money, count_rows, rate_pct, sum_flag
 def vw_patient_utilization(wh) -> DataFrame:
     """Patients with both facts pre-aggregated before the joins (no fan-out)."""
     p = wh.table("dim_patient").select("patient_key", "patient_id", "full_name", "age_group")
-    appt = wh.table("fact_appointment").groupBy("patient_key").agg(
-        count_rows().alias("total_appointments"),
-        sum_flag("is_completed").alias("completed_visits"),
-        F.max("appt_date").alias("last_visit_date"),
-    )
-    bill = wh.table("fact_billing").groupBy("patient_key").agg(
-        count_rows().alias("total_bills"),
-        sum_money("net_amount").alias("lifetime_net_revenue"),
-    )
+    if wh.holds("agg_patient_day"):
+        appt = wh.table("agg_patient_day").groupBy("patient_key").agg(
+            F.sum("appointments").cast("bigint").alias("total_appointments"),
+            F.sum("completed").cast("bigint").alias("completed_visits"),
+            F.max("appt_date").alias("last_visit_date"),
+        )
+    else:
+        appt = wh.table("fact_appointment").groupBy("patient_key").agg(
+            count_rows().alias("total_appointments"),
+            sum_flag("is_completed").alias("completed_visits"),
+            F.max("appt_date").alias("last_visit_date"),
+        )
+    if wh.holds("agg_patient_billing"):
+        bill = wh.table("agg_patient_billing").select(
+            "patient_key", F.col("bills").alias("total_bills"), F.col("net").alias("lifetime_net_revenue"))
+    else:
+        bill = wh.table("fact_billing").groupBy("patient_key").agg(
+            count_rows().alias("total_bills"),
+            sum_money("net_amount").alias("lifetime_net_revenue"),
+        )
     j = p.join(appt, "patient_key", "left").join(bill, "patient_key", "left")
     return j.select(
         "patient_key", "patient_id", "full_name", "age_group",
@@ -37,13 +48,20 @@ def vw_daily_opd_trend(wh) -> DataFrame:
     are functions of the date, so this equals join-then-group while the join
     sees one row per day instead of every appointment.
     """
-    fa = wh.table("fact_appointment")
-    per_day = fa.groupBy("date_key", "appt_date").agg(
-        count_rows().alias("total_appointments"),
-        sum_flag("is_completed").alias("completed_visits"),
-        sum_flag("is_no_show").alias("no_shows"),
-        F.count_distinct("doctor_key").alias("unique_doctors"),
-    )
+    if wh.holds("agg_day_doctor"):
+        per_day = wh.table("agg_day_doctor").groupBy("date_key", "appt_date").agg(
+            F.sum("appointments").cast("bigint").alias("total_appointments"),
+            F.sum("completed").cast("bigint").alias("completed_visits"),
+            F.sum("no_shows").cast("bigint").alias("no_shows"),
+            F.count("doctor_key").alias("unique_doctors"),
+        )
+    else:
+        per_day = wh.table("fact_appointment").groupBy("date_key", "appt_date").agg(
+            count_rows().alias("total_appointments"),
+            sum_flag("is_completed").alias("completed_visits"),
+            sum_flag("is_no_show").alias("no_shows"),
+            F.count_distinct("doctor_key").alias("unique_doctors"),
+        )
     dd = wh.table("dim_date").select("date_key", "day_name", "is_weekend", "year_month")
     j = per_day.join(dd, "date_key", "inner")
     return j.select(
@@ -63,11 +81,16 @@ def vw_doctor_performance(wh) -> DataFrame:
     map-side -- and only those pairs meet the doctor dimension; the distinct
     patient count per (name, department) is taken over the pairs.
     """
-    pairs = wh.table("fact_appointment").groupBy("doctor_key", "patient_key").agg(
-        count_rows().alias("n"),
-        sum_flag("is_completed").alias("c"),
-        sum_flag("is_no_show").alias("ns"),
-    )
+    if wh.holds("agg_doctor_patient"):
+        pairs = wh.table("agg_doctor_patient").select(
+            "doctor_key", "patient_key", F.col("appointments").alias("n"), F.col("completed").alias("c"),
+            F.col("no_shows").alias("ns"))
+    else:
+        pairs = wh.table("fact_appointment").groupBy("doctor_key", "patient_key").agg(
+            count_rows().alias("n"),
+            sum_flag("is_completed").alias("c"),
+            sum_flag("is_no_show").alias("ns"),
+        )
     d = wh.table("dim_doctor").select("doctor_key", "doctor_name", "primary_department")
     j = pairs.join(d, "doctor_key", "inner")
     return j.groupBy("doctor_name", "primary_department").agg(
@@ -125,10 +148,14 @@ def vw_high_value_patients(wh) -> DataFrame:
     unique (checked by ``dim_duplicate_keys``), so this equals join-then-group
     but shuffles one row per patient instead of every bill.
     """
-    per_key = wh.table("fact_billing").groupBy("patient_key").agg(
-        F.count("bill_id").alias("total_visits"),
-        sum_money("net_amount").alias("lifetime_value"),
-    )
+    if wh.holds("agg_patient_billing"):
+        per_key = wh.table("agg_patient_billing").select(
+            "patient_key", F.col("bills").alias("total_visits"), F.col("net").alias("lifetime_value"))
+    else:
+        per_key = wh.table("fact_billing").groupBy("patient_key").agg(
+            F.count("bill_id").alias("total_visits"),
+            sum_money("net_amount").alias("lifetime_value"),
+        )
     p = wh.table("dim_patient").select("patient_key", "patient_id", "full_name", "phone", "email")
     return per_key.join(p, "patient_key", "inner").select(
         "patient_id", "full_name", "phone", "email", "total_visits", "lifetime_value"

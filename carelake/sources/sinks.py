@@ -4,8 +4,9 @@ Layout under one root (shared storage on a cluster)::
 
     raw/<domain>/batch_id=<n>/                  landed rows (per micro-batch)
     raw/exceptions/source_table=<t>/batch_id=<n>/
-    core/<domain>/key_bucket=<b>/               upserted CORE (M1)
+    core/<domain>/                              versions of upserted CORE (M1, ``versioned``)
     mart/<name>/v=<version>/                    refreshed snapshots
+    _state/<name>/v=<CORE version>/             aggregates kept current by load (T6)
 
 Every batch-keyed write overwrites exactly its own partitions (dynamic
 partition overwrite), so a replayed micro-batch rewrites instead of
@@ -14,12 +15,15 @@ readers pick the newest committed one, so a refresh never overwrites what a
 reader is scanning.
 """
 
+import threading
 import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from carelake.constants import DOMAINS
 
+_PUBLISH = threading.Lock()
 
 # CORE tables behind each computed dimension.
 DIMENSION_INPUTS = {
@@ -68,6 +72,42 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.close()
 
 
+def publish_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small metadata file whole, or not at all if the name is taken (on stores whose rename is atomic)."""
+    jvm = spark.sparkContext._jvm
+    hidden = path.rsplit("/", 1)[0] + f"/.{uuid.uuid4().hex}"
+    write_text(spark, hidden, text)
+    to = jvm.org.apache.hadoop.fs.Path(path)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(to.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    kinds = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    with _PUBLISH:  # a local folder's rename has no such check of its own
+        if exists(spark, path):
+            delete(spark, hidden)
+            return False
+        try:
+            context.rename(jvm.org.apache.hadoop.fs.Path(hidden), to, kinds)
+        except Exception:  # noqa: BLE001 - whichever way the store says that the name is taken
+            delete(spark, hidden)
+            if exists(spark, path):
+                return False
+            raise
+    return True
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder of the warehouse, if it is there."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder (none where it is missing), without hidden ones."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return [n for n in (st.getPath().getName() for st in fs.listStatus(p)) if not n.startswith(".")]
+
+
 def has_partitions(spark: SparkSession, path: str) -> bool:
     """A partitioned table with at least one partition directory.
 
@@ -94,21 +134,10 @@ def write_exceptions(df: DataFrame, root: str) -> None:
     write_partitioned(df, f"{root}/raw/exceptions", ["source_table", "batch_id"])
 
 
-def clustered(df: DataFrame, columns: list[str], partitions: int | None = None) -> DataFrame:
-    """Range-cluster rows on ``columns`` so parquet min/max stats prune.
-
-    Range partitioning samples the keys to pick boundaries, so hot values are
-    split across tasks by the sampler instead of landing on one reducer.
-    """
-    n = partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    return df.repartitionByRange(int(n), *columns).sortWithinPartitions(*columns)
-
-
-def write_snapshot(spark: SparkSession, df: DataFrame, root: str, name: str, cluster_by: list[str] | None = None) -> str:
+def write_snapshot(spark: SparkSession, df: DataFrame, root: str, name: str) -> str:
     version = time.time_ns() // 1000
     path = f"{root}/mart/{name}/v={version}"
-    out = clustered(df, cluster_by) if cluster_by else df
-    out.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").parquet(path)
     return path
 
 
@@ -143,15 +172,26 @@ def read_stored_tables(spark: SparkSession, root: str, names=None) -> dict[str,
 
     Facts are inner-joined to the computed dimensions, so an outdated
     dimension would drop the facts of new days, doctors and services: such a
-    snapshot is left out and the dimension resolves over CORE until the next
-    refresh.
+    snapshot is left out and the dimension resolves over the kept aggregates,
+    or over CORE where there are none.  CORE tables are bound to the version
+    that is the newest now; a kept aggregate comes only if it is at that
+    version, so a load that failed half-way is never seen in part.
     """
+    from carelake.sources.tables import core_table
+    from carelake.sources.versioned import entry, read
+    from carelake.streaming.incremental import stored_states
+
     out: dict[str, DataFrame] = {}
+    at: dict[str, int] = {}
     for d in DOMAINS:
-        for layer, name in (("raw", f"raw_{d}"), ("core", f"core_{d}")):
-            path = f"{root}/{layer}/{d}"
-            if (names is None or name in names) and has_partitions(spark, path):
-                out[name] = spark.read.parquet(path)
+        if (names is None or f"raw_{d}" in names) and has_partitions(spark, f"{root}/raw/{d}"):
+            out[f"raw_{d}"] = spark.read.parquet(f"{root}/raw/{d}")
+        now = entry(spark, f"{root}/core/{d}")
+        if now is None:
+            continue
+        at[d] = now["version"]
+        if names is None or f"core_{d}" in names:
+            out[f"core_{d}"] = read(spark, core_table(root, d), at[d])
     if (names is None or "exceptions" in names) and has_partitions(spark, f"{root}/raw/exceptions"):
         out["exceptions"] = spark.read.parquet(f"{root}/raw/exceptions")
     fs, p = _fs(spark, f"{root}/mart")
@@ -163,4 +203,4 @@ def read_stored_tables(spark: SparkSession, root: str, names=None) -> dict[str,
             path = latest_snapshot(spark, root, name)
             if path and not _outdated(spark, root, name, path):
                 out[name] = spark.read.parquet(path)
-    return out
+    return out | {n: df for n, df in stored_states(spark, root, at).items() if names is None or n in names}

@@ -1,33 +1,45 @@
-"""T6 incremental path: additive MART aggregates maintained per micro-batch.
-
-A full MART rebuild reads all of CORE; with a 5-minute refresh lag on a
-large warehouse that is the bottleneck.  The visuals and monthly summaries
-are sums and counts, so each batch can be applied as a delta instead:
-
-    state' = state  (+)  agg(new rows)  (-)  agg(rows the batch replaced)
-
-``new rows`` is the staged, deduplicated batch; ``rows the batch replaced`` is
-the change set the MERGE recorded before swapping buckets (write-once per
-batch).  Every state row carries ``_rows`` (how many fact rows it sums) so a
-group whose rows all moved away is dropped.  Every state version names
-the batch it absorbed; a replayed batch is skipped, whichever batches came
-between, which keeps the delta exactly-once even though the MERGE itself is
-simply re-run.  The published snapshot is the state without ``_rows``.
-
-Facts and ``dim_patient`` resolve over CORE.  The computed dimensions are not
-additive: a snapshot older than CORE is passed over by readers, which then
-resolve the dimension over CORE, until ``refresh_mart`` writes a new one.
+"""Aggregates kept current per load from the change sets of CORE.
+
+A full MART rebuild reads all of CORE; with a 5-minute refresh lag on a large
+warehouse that is the bottleneck.  Every aggregate here is a sum by group, so
+it follows CORE from one version to a later one:
+
+    state' = state  (+)  agg(rows the commits wrote)  (-)  agg(rows they replaced)
+
+A state is named after the CORE version it reflects, and the change sets come
+from CORE's own log (:mod:`carelake.sources.versioned`), so it does not matter
+which load is absorbed, replayed or finished when: a state that is behind takes
+all commits since, one that is level does nothing, and one whose commits
+retention has taken is built again.  Every state row carries ``_rows`` (how
+many rows it sums): a group that holds none drops out, and a count below zero
+is an error, not a result.
+
+Results that are no sums are read off *counted* states with finer groups:
+distinct doctors of a day from (day, doctor), distinct patients of a doctor
+from (doctor, patient), the last visit from (patient, day), spans and latest
+descriptions from their days.  Taking the last row of a group back drops it, so
+maxima and distinct counts go back too.  The latest row per doctor needs the
+row itself: ``latest_doctor`` finds, for the doctors that a load touched, their
+last day in a counted state and looks that day up in CORE.
 """
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.sources.sinks import committed, has_partitions, write_snapshot
+from carelake.operators.dedup import desc, first_per_key
+from carelake.sources import versioned
+from carelake.sources.sinks import committed, delete, list_names
+from carelake.sources.tables import core_table
+
+_ORPHANS = threading.Lock()
+#: States that are kept of each aggregate, for readers that opened an older one.
+KEEP_STATES = 5
 
 
 @dataclass(frozen=True)
@@ -81,6 +93,27 @@ SPECS: dict[str, Additive] = {
     "dt_demographics": Additive(
         "patients", "dim_patient", [("gender", _c("gender"))], [("count", _one, "bigint")],
         where=lambda: F.col("gender").isNotNull()),
+    # Counted states: groups fine enough to read distinct counts, spans and latest values off.
+    "agg_patient_day": Additive(
+        "appointments", "fact_appointment", [("patient_key", _c("patient_key")), ("appt_date", _c("appt_date"))],
+        [("appointments", _one, "bigint"), ("completed", _c("is_completed"), "bigint")]),
+    "agg_day_doctor": Additive(
+        "appointments", "fact_appointment",
+        [("date_key", _c("date_key")), ("appt_date", _c("appt_date")), ("doctor_key", _c("doctor_key"))],
+        [("appointments", _one, "bigint"), ("completed", _c("is_completed"), "bigint"),
+         ("no_shows", _c("is_no_show"), "bigint"),
+         ("named", lambda: F.col("doctor_name").isNotNull().cast("bigint"), "bigint")]),
+    "agg_doctor_patient": Additive(
+        "appointments", "fact_appointment", [("doctor_key", _c("doctor_key")), ("patient_key", _c("patient_key"))],
+        [("appointments", _one, "bigint"), ("completed", _c("is_completed"), "bigint"),
+         ("no_shows", _c("is_no_show"), "bigint")]),
+    "agg_patient_billing": Additive(
+        "billing", "fact_billing", [("patient_key", _c("patient_key"))],
+        [("bills", _one, "bigint"), ("net", _c("net_amount"), "decimal(28,2)")]),
+    "agg_service_day": Additive(
+        "billing", "fact_billing",
+        [("service_code", _c("service_code")), ("bill_date", _c("bill_date")), ("service_desc", _c("service_desc"))],
+        [("bills", _one, "bigint")]),
 }
 
 
@@ -110,7 +143,9 @@ def fold(spec: Additive, rows: DataFrame) -> DataFrame:
     g = rows.groupBy(*[a for a, _ in spec.keys]).agg(
         *[F.sum(a).cast(t).alias(a) for a, _, t in spec.measures], F.sum("_rows").cast("bigint").alias("_rows")
     )
-    return g.filter(F.col("_rows") != 0)
+    n = F.col("_rows")
+    message = F.concat(F.lit("more rows taken from a group than it held: "), n.cast("string"))
+    return g.withColumn("_rows", F.when(n < 0, F.raise_error(message).cast("bigint")).otherwise(n)).filter("_rows != 0")
 
 
 def publish_view(spec: Additive, state: DataFrame) -> DataFrame:
@@ -120,59 +155,173 @@ def publish_view(spec: Additive, state: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ state
+#: Tables kept by domain that are no sums: the latest named appointment of each doctor.
+LATEST = {"latest_doctor": "appointments"}
+
+
 def _state_root(root: str, name: str) -> str:
     return f"{root}/_state/{name}"
 
 
-def states(spark: SparkSession, root: str, name: str) -> list[tuple[int, int, str]]:
-    """Committed state versions as (sequence, absorbed batch, path), oldest first."""
-    from carelake.sources.sinks import _fs
-
-    fs, p = _fs(spark, _state_root(root, name))
-    if not fs.exists(p):
-        return []
-    found = []
-    for st in fs.listStatus(p):
-        n = st.getPath().getName()
-        if n.startswith("s=") and committed(spark, st.getPath().toString()):
-            seq, batch = n[2:].split(",b=")
-            found.append((int(seq), int(batch), st.getPath().toString()))
-    return sorted(found)
+def states(spark: SparkSession, root: str, name: str) -> list[tuple[int, str]]:
+    """Committed states as (CORE version, path), oldest first."""
+    folder = _state_root(root, name)
+    found = [(int(n[2:]), f"{folder}/{n}") for n in list_names(spark, folder) if n.startswith("v=")]
+    return [x for x in sorted(found) if committed(spark, x[1])]
 
 
-def latest_state(spark: SparkSession, root: str, name: str) -> tuple[int, int, str] | None:
+def latest_state(spark: SparkSession, root: str, name: str) -> tuple[int, str] | None:
     found = states(spark, root, name)
     return found[-1] if found else None
 
 
-def apply_batch(spark: SparkSession, root: str, domain: str, batch_id: int,
-                new_rows: DataFrame, replaced_rows: DataFrame | None) -> dict[str, str]:
-    """Absorb one merged batch into every additive aggregate of ``domain``.
+def stored_states(spark: SparkSession, root: str, at: dict[str, int]) -> dict[str, DataFrame]:
+    """The kept aggregates that reflect the CORE versions ``at`` (by domain): all of a domain's, or none."""
+    out: dict[str, DataFrame] = {}
+    domains = {n: s.domain for n, s in SPECS.items()} | LATEST
+    for domain, version in at.items():
+        places = {n: f"{_state_root(root, n)}/v={version}" for n, d in domains.items() if d == domain}
+        if all(committed(spark, place) for place in places.values()):
+            for name, place in places.items():
+                rows = spark.read.parquet(place)
+                out[name] = publish_view(SPECS[name], rows) if name in SPECS else rows
+    return out | stored_orphans(spark, root, at)
+
+
+def advance(spark: SparkSession, root: str, domain: str) -> int | None:
+    """Bring every kept aggregate of ``domain`` to CORE's newest version; returns that version.
 
-    The aggregates are independent; their jobs are submitted side by side.
+    The aggregates are independent; their jobs are submitted side by side.  Work is by the commits since each state, not
+    by CORE, except where there is no state yet or its commits are gone.
     """
     from carelake.jobs import run_concurrently
 
-    def absorb(name: str, spec: Additive, latest: tuple[int, int, str] | None) -> str:
-        if latest is None:
-            # First use: build the state from the stored CORE (already merged).
-            stored = f"{root}/core/{domain}"
-            core = spark.read.parquet(stored) if has_partitions(spark, stored) else new_rows
-            state = fold(spec, contributions(spark, spec, core, 1))
+    table = core_table(root, domain)
+    now = versioned.entry(spark, table.path)
+    if now is None:
+        return None
+    target = now["version"]
+
+    def absorb(name: str, spec: Additive) -> None:
+        last = latest_state(spark, root, name)
+        if last and last[0] >= target:
+            return
+        moved = versioned.changes(spark, table, last[0], target) if last else None
+        if moved is None:
+            rows = contributions(spark, spec, versioned.read(spark, table, target), 1)
         else:
-            parts = spark.read.parquet(latest[2]).unionByName(contributions(spark, spec, new_rows, 1))
-            if replaced_rows is not None:
-                parts = parts.unionByName(contributions(spark, spec, replaced_rows, -1))
-            state = fold(spec, parts)
-        path = f"{_state_root(root, name)}/s={latest[0] + 1 if latest else 0},b={batch_id}"
-        state.write.mode("overwrite").parquet(path)
-        return write_snapshot(spark, publish_view(spec, spark.read.parquet(path)), root, name)
-
-    tasks = {}
-    for name, spec in specs_for(domain).items():
-        found = states(spark, root, name)
-        if any(b == batch_id for _, b, _ in found):
-            continue  # replay of an absorbed batch
-        latest = found[-1] if found else None
-        tasks[name] = (lambda n=name, s=spec, lt=latest: absorb(n, s, lt))
-    return run_concurrently(tasks, 4)
+            rows = spark.read.parquet(last[1]).unionByName(contributions(spark, spec, moved[0], 1))
+            rows = rows.unionByName(contributions(spark, spec, moved[1], -1))
+        _write_state(spark, root, name, target, fold(spec, rows))
+
+    run_concurrently({n: (lambda n=n, s=s: absorb(n, s)) for n, s in specs_for(domain).items()}, 4)
+    if domain == LATEST["latest_doctor"]:
+        _advance_doctors(spark, root, table, target)
+    advance_orphans(spark, root)
+    return target
+
+
+def _write_state(spark: SparkSession, root: str, name: str, version: int, rows: DataFrame) -> None:
+    rows.write.mode("overwrite").parquet(f"{_state_root(root, name)}/v={version}")
+    for _, path in states(spark, root, name)[:-KEEP_STATES]:
+        delete(spark, path)
+
+
+# ---------------------------------------------------------------- orphans
+#: Fact rows without a patient, by domain: (ledger, id column).
+ORPHANS = {"appointments": ("orphans_appointments", "appt_id"), "billing": ("orphans_billing", "bill_id")}
+
+
+def _orphan_states(spark: SparkSession, root: str, name: str) -> list[tuple[int, int, str]]:
+    """Committed ledgers as (fact version, patients version, path); -1 stands for no patients yet."""
+    folder = _state_root(root, name)
+    found = [(*map(int, n[2:].split("_")), f"{folder}/{n}") for n in list_names(spark, folder) if n.startswith("v=")]
+    return [x for x in sorted(found) if committed(spark, x[2])]
+
+
+def advance_orphans(spark: SparkSession, root: str) -> None:
+    """J6 kept current: rows that a load wrote leave the ledger, those without a patient enter it, and new patients drain
+    it.  Patients are never deleted, so nothing else can become an orphan; work is by what the loads moved."""
+    patients = core_table(root, "patients")
+    with _ORPHANS:  # domains load side by side; a ledger has one writer at a time
+        known = versioned.entry(spark, patients.path)
+        p_now = known["version"] if known else -1
+        for domain, (name, key) in ORPHANS.items():
+            table = core_table(root, domain)
+            now = versioned.entry(spark, table.path)
+            found = _orphan_states(spark, root, name)
+            if now is None or found and found[-1][0] >= now["version"] and found[-1][1] >= p_now:
+                continue
+            rows = _orphans_of(spark, table, key, now["version"], patients, p_now, found[-1] if found else None)
+            rows.write.mode("overwrite").parquet(f"{_state_root(root, name)}/v={now['version']}_{p_now}")
+            for _, _, path in _orphan_states(spark, root, name)[:-KEEP_STATES]:
+                delete(spark, path)
+
+
+def _orphans_of(spark: SparkSession, table: versioned.Table, key: str, f_now: int, patients: versioned.Table, p_now: int,
+                last: tuple[int, int, str] | None) -> DataFrame:
+    columns = [F.col(key).alias("record_id"), F.col("patient_id").alias("patient_key")]
+    moved = versioned.changes(spark, table, last[0], f_now) if last else None
+    if moved is None:
+        rows = versioned.read(spark, table, f_now).select(*columns)
+        if p_now < 0:
+            return rows
+        ids = versioned.read(spark, patients, p_now).select(F.col("patient_id").alias("patient_key"))
+        return rows.join(ids, "patient_key", "left_anti").select("record_id", "patient_key")
+    touched = moved[0].select(key).distinct()
+    current = versioned.rows_of(spark, table, f_now, touched).select(*columns)
+    before = spark.read.parquet(last[2]).join(touched.withColumnRenamed(key, "record_id"), "record_id", "left_anti")
+    if p_now >= 0:
+        wanted = current.select(F.col("patient_key").alias("patient_id")).distinct()
+        there = versioned.rows_of(spark, patients, p_now, wanted).select(F.col("patient_id").alias("patient_key"))
+        current = current.join(there, "patient_key", "left_anti")
+        new = versioned.changes(spark, patients, last[1], p_now) if p_now > last[1] else None
+        if p_now > last[1]:
+            ids = new[0] if new else versioned.read(spark, patients, p_now)
+            before = before.join(ids.select(F.col("patient_id").alias("patient_key")), "patient_key", "left_anti")
+    return before.select("record_id", "patient_key").unionByName(current.select("record_id", "patient_key"))
+
+
+def stored_orphans(spark: SparkSession, root: str, at: dict[str, int]) -> dict[str, DataFrame]:
+    """The orphan ledgers that reflect the CORE versions ``at``."""
+    out = {}
+    for domain, (name, _) in ORPHANS.items():
+        place = f"{_state_root(root, name)}/v={at.get(domain)}_{at.get('patients', -1)}"
+        if domain in at and committed(spark, place):
+            out[name] = spark.read.parquet(place)
+    return out
+
+
+DOCTOR_COLUMNS = ["doctor_id", "appt_date", "appt_id", "doctor_name", "department"]
+
+
+def _named(core: DataFrame) -> DataFrame:
+    return core.filter("doctor_id IS NOT NULL AND doctor_name IS NOT NULL").select(*DOCTOR_COLUMNS)
+
+
+def latest_per_doctor(rows: DataFrame) -> DataFrame:
+    return first_per_key(rows, "doctor_id", [desc("appt_date"), desc("appt_id")])
+
+
+def touched_doctor_rows(spark: SparkSession, root: str, table: versioned.Table, version: int, touched: DataFrame) -> DataFrame:
+    """CORE's rows of the ``touched`` doctors on their last named day, from the files that hold such a day."""
+    days = spark.read.parquet(f"{_state_root(root, 'agg_day_doctor')}/v={version}").filter("named > 0")
+    last = (days.join(touched, days.doctor_key == touched.doctor_id, "left_semi")
+            .groupBy(F.col("doctor_key").alias("_doctor")).agg(F.max("appt_date").alias("_day")))
+    wanted = [r[0] for r in last.select("_day").distinct().collect()]  # calendar days: bounded by the calendar
+    rows = _named(versioned.read(spark, table, version, days=wanted))
+    return rows.join(last, (F.col("doctor_id") == F.col("_doctor")) & (F.col("appt_date") == F.col("_day")), "left_semi")
+
+
+def _advance_doctors(spark: SparkSession, root: str, table: versioned.Table, target: int) -> None:
+    last = latest_state(spark, root, "latest_doctor")
+    if last and last[0] >= target:
+        return
+    moved = versioned.changes(spark, table, last[0], target) if last else None
+    if moved is None:
+        best = latest_per_doctor(_named(versioned.read(spark, table, target)))
+    else:
+        touched = moved[0].select("doctor_id").unionByName(moved[1].select("doctor_id")).distinct()
+        again = latest_per_doctor(touched_doctor_rows(spark, root, table, target, touched))
+        best = spark.read.parquet(last[1]).join(touched, "doctor_id", "left_anti").unionByName(again)
+    _write_state(spark, root, "latest_doctor", target, best.select(*DOCTOR_COLUMNS))

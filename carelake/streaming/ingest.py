@@ -4,7 +4,8 @@ One streaming query per domain reads the landing directory through the file
 source (routed by file name).  The file-source checkpoint is the change
 feed's offset: a file is delivered once, existing files first (T1), the
 offset advances only when the micro-batch commits (T3), and a new checkpoint
-directory delivers everything again (T5).  ``foreachBatch`` runs the same
+directory delivers everything again (T5): files that were landed stay landed
+once, or with ``redeliver`` are landed as new loads and merged again.  ``foreachBatch`` runs the same
 ``pipeline.apply_load`` as the batch path under an id claimed for (query id,
 micro-batch), so a replayed micro-batch rewrites itself and nothing else.
 Files that any earlier load has committed are not landed again.
@@ -27,14 +28,19 @@ from carelake.sources.csv import stream_landing
 
 def start_ingest(spark: SparkSession, landing: str, root: str, domain: str, *, checkpoint: str | None = None,
                  trigger: dict | None = None, n_buckets: int = DEFAULT_BUCKETS,
-                 max_files_per_trigger: int | None = None, incremental: bool = False, on_rows=None) -> StreamingQuery:
-    """Start the query of one domain; ``on_rows`` is told the rows of every finished micro-batch."""
+                 max_files_per_trigger: int | None = None, incremental: bool = False, on_rows=None,
+                 redeliver: bool = False) -> StreamingQuery:
+    """Start the query of one domain; ``on_rows`` is told the rows of every finished micro-batch.
+
+    With ``redeliver`` files are taken that earlier loads have landed (a replay of the feed): each is a load of its own,
+    later than those before it.
+    """
     ckpt = checkpoint or f"{root}/_checkpoints/{domain}"
 
     def process(batch_df, batch_id: int) -> None:
         session = batch_df.sparkSession
         claimed = claim(session, root, f"stream/{stream_id(session, ckpt)}/{batch_id}")
-        apply_load(session, root, domain, batch_df, claimed, n_buckets, incremental, load_once=True)
+        apply_load(session, root, domain, batch_df, claimed, n_buckets, incremental, load_once=not redeliver)
         if on_rows is not None:
             on_rows(batch_df.count())
 
@@ -48,7 +54,7 @@ def start_ingest(spark: SparkSession, landing: str, root: str, domain: str, *, c
 
 def run_available(spark: SparkSession, landing: str, root: str, *, checkpoint: str | None = None,
                   refresh: bool | str = True, n_buckets: int = DEFAULT_BUCKETS,
-                  max_files_per_trigger: int | None = None, **wh_kw) -> dict[str, int]:
+                  max_files_per_trigger: int | None = None, redeliver: bool = False, **wh_kw) -> dict[str, int]:
     """Process every pending file of every domain, then refresh the MART.
 
     ``refresh``: True / "full" rebuilds every MART snapshot after the run;
@@ -65,7 +71,8 @@ def run_available(spark: SparkSession, landing: str, root: str, *, checkpoint: s
 
         q = start_ingest(spark, landing, root, d,
                          checkpoint=None if checkpoint is None else f"{checkpoint}/{d}", n_buckets=n_buckets,
-                         incremental=incremental, max_files_per_trigger=max_files_per_trigger, on_rows=add)
+                         incremental=incremental, max_files_per_trigger=max_files_per_trigger, on_rows=add,
+                         redeliver=redeliver)
         q.awaitTermination()
         if q.exception() is not None:
             raise q.exception()

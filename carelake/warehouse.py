@@ -32,8 +32,13 @@ class Warehouse:
         exempt_roles: Sequence[str] = EXEMPT_ROLES_DEFAULT,
         as_of: datetime.date = AS_OF_DEFAULT,
         masked: bool = True,
+        policies=None,
     ) -> None:
+        from carelake.plans.masking import default_policies
+
         self.spark = spark
+        self._own_policies = policies
+        self.policies = policies or default_policies()  # an immutable set: this warehouse's for good
         self.role = role
         self.exempt_roles = tuple(exempt_roles)
         self.as_of = as_of
@@ -79,8 +84,14 @@ class Warehouse:
             exempt_roles=self.exempt_roles if exempt_roles is None else exempt_roles,
             as_of=self.as_of,
             masked=self.masked,
+            policies=self._own_policies,
         )
 
+    def with_policies(self, policies) -> Warehouse:
+        """Same tables and role under another set of masking policies (``plans.masking.PolicySet``)."""
+        return Warehouse(self.spark, self._given, role=self.role, exempt_roles=self.exempt_roles, as_of=self.as_of,
+                         masked=self.masked, policies=policies)
+
     # ----------------------------------------------------------- resolution
     def resolve(self, name: str) -> DataFrame:
         """Unmasked table (what the refresh jobs themselves read)."""
@@ -97,6 +108,10 @@ class Warehouse:
             self._memo[name] = BUILDERS[name](self)
         return self._memo[name]
 
+    def holds(self, name: str) -> bool:
+        """Whether ``name`` was given (stored), rather than derived."""
+        return name in self._given
+
     def table(self, name: str) -> DataFrame:
         """Table as seen by this warehouse's role (masking policies applied)."""
         from carelake.plans.masking import apply_policies

@@ -162,6 +162,26 @@ def oracle_queries() -> dict[str, str]:
     q["dt_top_doctors"] = W(
         "SELECT doctor_name, COUNT(*) AS appointments FROM fact_appointment GROUP BY doctor_name")
 
+    # ---- counted groups
+    q["agg_patient_day"] = W(f"""
+SELECT patient_key, {iso('appt_date')} AS appt_date, COUNT(*) AS appointments,
+       CAST(SUM(is_completed) AS BIGINT) AS completed
+FROM fact_appointment GROUP BY patient_key, appt_date""")
+    q["agg_day_doctor"] = W(f"""
+SELECT CAST(date_key AS BIGINT) AS date_key, {iso('appt_date')} AS appt_date, doctor_key, COUNT(*) AS appointments,
+       CAST(SUM(is_completed) AS BIGINT) AS completed, CAST(SUM(is_no_show) AS BIGINT) AS no_shows,
+       COUNT(doctor_name) AS named
+FROM fact_appointment GROUP BY date_key, appt_date, doctor_key""")
+    q["agg_doctor_patient"] = W("""
+SELECT doctor_key, patient_key, COUNT(*) AS appointments, CAST(SUM(is_completed) AS BIGINT) AS completed,
+       CAST(SUM(is_no_show) AS BIGINT) AS no_shows
+FROM fact_appointment GROUP BY doctor_key, patient_key""")
+    q["agg_patient_billing"] = W(
+        f"SELECT patient_key, COUNT(*) AS bills, {money('SUM(net_amount)')} AS net FROM fact_billing GROUP BY patient_key")
+    q["agg_service_day"] = W(f"""
+SELECT service_code, {iso('bill_date')} AS bill_date, service_desc, COUNT(*) AS bills
+FROM fact_billing GROUP BY service_code, bill_date, service_desc""")
+
     # ---- materialised views
     q["mv_monthly_revenue"] = W(f"""
 SELECT {iso("CAST(date_trunc('month', bill_date) AS DATE)")} AS bill_month, department, payment_mode,
