@@ -223,14 +223,15 @@ def exceptions(domain: str, prepared: DataFrame, batch_id: int | None = None) ->
     on every executor without coordination and is stable under replay.
     """
     bid = F.lit(batch_id).cast("bigint")
-    # explode() of an empty reason list yields no row: no separate filter.
+    # The outer form keeps a valid row once, with a null reason that is dropped afterwards: from a plain explode()
+    # Catalyst infers a filter on the reason list, pushes it below the projection and so runs every rule twice.
     r = prepared.select(
         F.lit(SOURCE_TABLE[domain]).alias("source_table"),
         F.col("_raw_id").alias("record_id"),
-        F.explode("_reasons").alias("rejection_reason"),
+        F.explode_outer("_reasons").alias("rejection_reason"),
         "_raw",
         "_source_file",
-    )
+    ).filter(F.col("rejection_reason").isNotNull())
     return r.select(
         F.xxhash64("source_table", "record_id", "rejection_reason", "_source_file", "_raw").alias("exception_id"),
         "source_table",

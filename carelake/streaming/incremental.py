@@ -268,15 +268,17 @@ def _orphans_of(spark: SparkSession, table: versioned.Table, key: str, f_now: in
             return rows
         ids = versioned.read(spark, patients, p_now).select(F.col("patient_id").alias("patient_key"))
         return rows.join(ids, "patient_key", "left_anti").select("record_id", "patient_key")
-    touched = moved[0].select(key).distinct()
-    current = versioned.rows_of(spark, table, f_now, touched).select(*columns)
-    before = spark.read.parquet(last[2]).join(touched.withColumnRenamed(key, "record_id"), "record_id", "left_anti")
+    touched = moved[0].select(F.col(key).alias("record_id")).distinct()
+    # of the rows that the commits wrote for a key, the one of the latest load is the current one
+    current = moved[0].groupBy(F.col(key).alias("record_id")).agg(
+        F.max_by("patient_id", versioned.SEQ).alias("patient_key"))
+    before = spark.read.parquet(last[2]).join(touched, "record_id", "left_anti")
     if p_now >= 0:
-        wanted = current.select(F.col("patient_key").alias("patient_id")).distinct()
+        wanted = moved[0].select("patient_id").distinct()
         there = versioned.rows_of(spark, patients, p_now, wanted).select(F.col("patient_id").alias("patient_key"))
         current = current.join(there, "patient_key", "left_anti")
-        new = versioned.changes(spark, patients, last[1], p_now) if p_now > last[1] else None
         if p_now > last[1]:
+            new = versioned.changes(spark, patients, last[1], p_now)
             ids = new[0] if new else versioned.read(spark, patients, p_now)
             before = before.join(ids.select(F.col("patient_id").alias("patient_key")), "patient_key", "left_anti")
     return before.select("record_id", "patient_key").unionByName(current.select("record_id", "patient_key"))

@@ -40,3 +40,12 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert df.columns[:3] == ["patient_key", "patient_id", "full_name"]
+
+
+def test_exceptions_run_each_rule_once(wh_small):
+    """No filter on the reason list is inferred and pushed below the rules: they stand in the plan once per domain."""
+    from carelake.operators import clean as C
+
+    for d in ("patients", "appointments", "billing"):
+        plan = C.exceptions(d, wh_small.resolve(f"prepared_{d}"), 1)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count(f"THEN {C.RULES[d]()[0].reason} END") == 1, d
