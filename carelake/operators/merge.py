@@ -8,8 +8,9 @@ micro-batch safe to re-run.
 
 ``merge_into_path`` applies it to a parquet table partitioned by
 ``key_bucket = pmod(xxhash64(key), n)``: only buckets the batch touches are
-read and rewritten (dynamic partition overwrite), so the cost of a batch is
-proportional to the buckets it hits, not to the table.
+read and rewritten (dynamic partition overwrite).  It is the plain form for a
+table with one writer and no readers meanwhile; the pipeline's CORE tables are
+versions with a log (:mod:`carelake.sources.versioned`).
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,16 +39,15 @@ def bucket_of(key: str, n_buckets: int):
     return F.pmod(F.xxhash64(F.col(key)), F.lit(n_buckets)).cast("int")
 
 
-def clustered(df: DataFrame, buckets: int, order: list[str]) -> DataFrame:
+def clustered(df: DataFrame, order: list[str]) -> DataFrame:
     """Rows by bucket and then clustering columns, range-partitioned.
 
     A range may end inside a bucket, so a bucket larger than a partition is
     written by several tasks, each holding its own span of dates (S14), and
-    small buckets share one.  Partitions are as many as the session's shuffle
-    partitions, and at least the buckets; adaptive execution joins small ones.
+    small buckets share one.  No number of partitions is given, so adaptive
+    execution sizes them by the data.
     """
-    n = max(buckets, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    return df.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 def stored_bucket_count(spark: SparkSession, path: str) -> int | None:
@@ -100,7 +100,7 @@ def merge_into_path(
         # The marker comes first and the write replaces only bucket folders:
         # a load that fails in between leaves the count that a retry must use.
         _record_bucket_count(spark, path, n_buckets)
-        write_partitioned(clustered(first, n_buckets, order), path, [BUCKET_COL])
+        write_partitioned(clustered(first, order), path, [BUCKET_COL])
         return
     target = spark.read.parquet(path)
     # The touched buckets are at most ``n_buckets`` small ints: a static
@@ -116,6 +116,6 @@ def merge_into_path(
     # written to a staging table first (also the recovery point if an
     # executor is lost), then swapped into the target partition by partition.
     staging = path.rstrip("/") + "__merge_staging"
-    (clustered(merged, len(touched), order)
+    (clustered(merged, order)
      .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(BUCKET_COL).parquet(staging))
     write_partitioned(spark.read.parquet(staging), path, [BUCKET_COL])

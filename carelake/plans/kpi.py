@@ -1,6 +1,6 @@
 """Q1-Q4: executive aggregates."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carelake.constants import SELF_PAY_LABEL
@@ -37,15 +37,15 @@ def revenue_totals(wh) -> DataFrame:
 def payer_mix(wh) -> DataFrame:
     """Share of total revenue per (mode, insurer).
 
-    The grand total is a window over the already-aggregated groups (a few
-    rows per payment mode), never over the facts themselves.
+    The grand total is a scalar subquery over the aggregated groups, so they
+    stay spread: a window without a partition would take them to one task.
     """
     fb = wh.table("fact_billing")
     g = fb.groupBy("payment_mode", F.coalesce("insurer_name", F.lit(SELF_PAY_LABEL)).alias("insurer")).agg(
         count_rows().alias("bill_count"),
         sum_money("net_amount").alias("total_revenue"),
     )
-    total = F.sum("total_revenue").over(Window.partitionBy())
+    total = g.agg(sum_money("total_revenue")).scalar()
     share = F.round(F.col("total_revenue") * F.lit(100) / F.nullif(total, F.lit(0)), 2)
     out = g.select("payment_mode", "insurer", "bill_count", "total_revenue", share.alias("revenue_share_pct"))
     return ordered(out, [F.col("total_revenue").desc()], ["payment_mode", "insurer"])

@@ -7,6 +7,7 @@ from carelake.constants import DOMAINS, SOURCE_TABLE
 from carelake.functions.metrics import count_rows, rate_pct
 from carelake.operators.integrity import fk_orphans as _orphans
 from carelake.operators.integrity import fk_valid as _valid
+from carelake.schemas import KEYS
 
 
 def _count(df: DataFrame, **labels) -> DataFrame:
@@ -58,6 +59,16 @@ def dim_duplicate_keys(wh) -> DataFrame:
     return _union(parts)
 
 
+def core_duplicate_keys(wh) -> DataFrame:
+    """G14 for CORE: ids that occur more than once (none, while every load is a MERGE).  The KPI counts of distinct ids
+    count rows, which rests on this."""
+    parts = []
+    for d in DOMAINS:
+        g = wh.table(f"core_{d}").groupBy(F.col(KEYS[d]).alias("core_key")).agg(count_rows().alias("cnt"))
+        parts.append(g.filter(F.col("cnt") > 1).select(F.lit(f"CORE_{d.upper()}").alias("tbl"), "core_key", "cnt"))
+    return _union(parts)
+
+
 def null_fk_check(wh) -> DataFrame:
     """V4: fact rows without a patient key."""
     return _union([

@@ -1,7 +1,7 @@
 """Table builders (what a Warehouse can derive) and query catalogue."""
 
 from carelake.constants import DOMAINS
-from carelake.plans import core, counted, dashboards, kpi, mart, matviews, quality, views, visuals
+from carelake.plans import core, counted, dashboards, kpi, landing, mart, matviews, quality, views, visuals
 
 BUILDERS = {}
 for _d in DOMAINS:
@@ -42,8 +42,8 @@ MART_SNAPSHOTS = [
 ]
 
 QUERIES = {}
-for _f in (quality.raw_row_counts, quality.layer_pass_rate, quality.rejection_summary,
-           quality.dim_duplicate_keys, quality.null_fk_check, quality.negative_amounts,
+for _f in (landing.csv_scan_nulls, quality.raw_row_counts, quality.layer_pass_rate, quality.rejection_summary,
+           quality.dim_duplicate_keys, quality.core_duplicate_keys, quality.null_fk_check, quality.negative_amounts,
            quality.fk_valid_appointments, quality.fk_valid_billing, quality.fk_orphans,
            kpi.exec_kpi, kpi.revenue_totals, kpi.payer_mix, kpi.top_services):
     QUERIES[_f.__name__] = _f

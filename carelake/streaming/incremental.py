@@ -214,10 +214,10 @@ def advance(spark: SparkSession, root: str, domain: str) -> int | None:
             rows = rows.unionByName(contributions(spark, spec, moved[1], -1))
         _write_state(spark, root, name, target, fold(spec, rows))
 
-    run_concurrently({n: (lambda n=n, s=s: absorb(n, s)) for n, s in specs_for(domain).items()}, 4)
+    tasks = {n: (lambda n=n, s=s: absorb(n, s)) for n, s in specs_for(domain).items()}
+    run_concurrently({"orphans": lambda: advance_orphans(spark, root)} | tasks, 4)
     if domain == LATEST["latest_doctor"]:
         _advance_doctors(spark, root, table, target)
-    advance_orphans(spark, root)
     return target
 
 

@@ -224,6 +224,12 @@ FROM fact_billing b JOIN dim_patient p ON b.patient_key = p.patient_key
 GROUP BY p.patient_id, p.full_name, p.phone, p.email""")
     q["vw_insurance_mix"] = W(INSURANCE_MIX)
 
+    # ---- landing format
+    q["csv_scan_nulls"] = W("""
+SELECT patient_id, full_name, gender, CASE WHEN CAST(patient_id AS BIGINT) % 7 <> 3 THEN city END AS city,
+       CASE WHEN CAST(patient_id AS BIGINT) % 5 <> 0 THEN email END AS email
+FROM raw_patients""")
+
     # ---- validation and integrity
     q["raw_row_counts"] = W("""
 SELECT 'RAW_PATIENTS' AS tbl, COUNT(*) AS cnt FROM raw_patients
@@ -242,6 +248,9 @@ UNION ALL SELECT 'RAW_BILLING', COUNT(*) FROM raw_billing""")
 SELECT 'DIM_PATIENT' AS tbl, patient_key AS dim_key, COUNT(*) AS cnt FROM dim_patient GROUP BY 1, 2 HAVING COUNT(*) > 1
 UNION ALL
 SELECT 'DIM_DOCTOR', doctor_key, COUNT(*) AS cnt FROM dim_doctor GROUP BY 1, 2 HAVING COUNT(*) > 1""")
+    q["core_duplicate_keys"] = W(" UNION ALL ".join(
+        f"SELECT 'CORE_{d.upper()}' AS tbl, {k} AS core_key, COUNT(*) AS cnt FROM core_{d} GROUP BY {k} HAVING COUNT(*) > 1"
+        for d, k in (("patients", "patient_id"), ("appointments", "appt_id"), ("billing", "bill_id"))))
     q["null_fk_check"] = W("""
 SELECT 'FACT_APPOINTMENT' AS fact_table, 'NULL_PATIENT_FK' AS issue, COUNT(*) AS cnt
 FROM fact_appointment WHERE patient_key IS NULL
