@@ -10,10 +10,14 @@ probability is that of its id times the word's share in the id (Witten-Bell: a p
 spread over byte strings by length).  So neighbours of a rare word bear on its id, counts on the word.  Counts of the more
 frequent words go to the tasks, those of the others are joined in Spark.
 
-The network is trained on every word of the corpus: documents are dealt to shards of about as many words at any size and
-layout of the table, a task runs stochastic gradient steps over its shard from the same start, and weights are averaged, by
-words seen, with a Spark aggregate.  Each round takes the documents of another hash
-class, so all rounds together take every document once, and what is gathered grows with the corpus.
+Texts are coded once: a document becomes the codes of its words, which training and scoring read.
+
+The network starts as the frequencies of the ids (its biases are their logarithms), so what it learns is what neighbours
+add.  It is trained on every word of the corpus: documents are dealt to shards by row number, whatever the layout of the
+table, a task runs stochastic gradient steps over its shard from the same start, and weights are averaged, by words seen,
+in blocks.  Each round takes the documents of another hash class, so all rounds together take every document once.  The
+shards are as many as the square root of the corpus's words commands, as are the weights, so what is gathered (shards times
+weights) grows with the corpus and no faster.
 """
 
 from __future__ import annotations
@@ -35,11 +39,15 @@ OWN_LEAST, PER_OWN = 448, 8
 #: Words without an id of their own whose counts the tasks hold; counts of the others are joined.
 HELD = 200_000
 SIDE, HIDDEN = 2, 16
-ROUNDS, STEP, RATE = 2, 4096, 0.05
-#: Words that a task trains on, about, between two averages.
-SHARD = 1 << 22
-#: Words in a matrix at once when scoring.
-SCORE_STEP = 1 << 14
+ROUNDS, RATE = 2, 0.4
+#: Words of one step, and of one matrix when scoring: few enough for the matrices to stay in a processor's cache.
+STEP = 2048
+#: A round has one shard for each so many of the square root of the corpus's words.
+PER_SHARD = 750
+#: Weights in a block of the average.
+BLOCK = 1 << 14
+#: Words that are put together before they are cut into steps.
+GATHER = 8 * STEP
 FLUSH = 200_000
 
 
@@ -49,10 +57,11 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 class Words(NamedTuple):
-    """The words of the corpus: those with ids of their own, by frequency; counts of the next ones; ids in all (a square);
+    """The words of the corpus: those with ids of their own, by frequency, and their counts; counts of the next ones; ids in all (a square);
     of each shared id the words and the distinct words; and ``(word, n)`` of all words."""
 
     own: list[bytes]
+    own_n: np.ndarray
     held: list[tuple[bytes, int]]
     size: int
     shared_n: np.ndarray
@@ -60,8 +69,12 @@ class Words(NamedTuple):
     total: int
     counts: DataFrame | None
 
-    def to_tasks(self, held: bool = True) -> Words:
-        return self._replace(counts=None, held=self.held if held else [])
+    def to_tasks(self) -> Words:
+        return self._replace(counts=None)
+
+    def of_id(self) -> np.ndarray:
+        """Occurrences of each id."""
+        return np.concatenate((self.own_n, np.zeros(self.size - len(self.own_n) - len(self.shared_n), np.int64), self.shared_n))
 
 
 class Codes(dict):
@@ -131,20 +144,23 @@ def corpus_words(docs: DataFrame) -> Words:
     for w, c in top[:own]:
         n[zlib.crc32(w) % shared] -= c
         kinds[zlib.crc32(w) % shared] -= 1
-    return Words([w for w, _ in top[:own]], top[own:], side * side, n, kinds, total, counts)
+    own_n = np.array([c for _, c in top[:own]], np.int64)
+    return Words([w for w, _ in top[:own]], own_n, top[own:], side * side, n, kinds, total, counts)
 
 
-def start_weights(size: int, seed: int = 3) -> dict[str, np.ndarray]:
-    """Of ``size`` ids, and one more for an edge, in as many classes as a class has ids."""
+def start_weights(size: int, seed: int = 3, of_id: np.ndarray | None = None) -> dict[str, np.ndarray]:
+    """Of ``size`` ids, and one more for an edge, in as many classes as a class has ids.  Given the occurrences of each
+    id, biases are their logarithms."""
     r, side = np.random.default_rng(seed), isqrt(size)
     draw = lambda *s: r.normal(0, 0.1, s).astype(np.float32)
+    counts = np.ones((side, side)) if of_id is None else of_id.reshape(side, side) + 0.5
     return {
         "embed": draw(2 * SIDE, size + 1, HIDDEN),
         "hidden": np.zeros(HIDDEN, np.float32),
         "classes": draw(HIDDEN, side),
-        "class_bias": np.zeros(side, np.float32),
+        "class_bias": np.log(counts.sum(axis=1) / counts.sum()).astype(np.float32),
         "words": draw(side, HIDDEN, side),
-        "word_bias": np.zeros((side, side), np.float32),
+        "word_bias": np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32),
     }
 
 
@@ -251,17 +267,58 @@ class Trainer:
             self._push(k, g, at)
 
 
-def _code_blocks(batches, codes: Codes, most: int, rare: bool):
-    """Of batches with the text last: lists of (batch, row, codes, unheld words), of about ``most`` words or one text, in
-    order.  Without ``rare`` no unheld words are listed."""
+CODED = "row long, n_words long, codes binary, rare array<struct<word: binary, times: long, unseen: double>>"
+
+
+def code(docs: DataFrame, words: Words) -> DataFrame:
+    """``(doc_id, row, n_words, codes, rare)``, written: each document as the codes of its words (packed 32-bit integers),
+    and its words whose counts the tasks don't hold."""
+    shared = docs.sparkSession.sparkContext.broadcast(words.to_tasks())
+
+    def run(batches):
+        codes = Codes(shared.value)
+        for b in batches:
+            for at in range(0, b.num_rows, 512):
+                some = b.slice(at, 512)
+                packed, sizes, unheld = [], [], []
+                for t in some.column(2):
+                    found = words_of(t.as_py())
+                    one = np.fromiter(map(codes.__getitem__, found), np.int32, len(found))
+                    packed.append(one.tobytes())
+                    sizes.append(len(one))
+                    unheld.append(Counter([found[j] for j in np.flatnonzero(one >= codes.unheld).tolist()]))
+                rare = pa.StructArray.from_arrays(
+                    [
+                        pa.array([x for c in unheld for x in c], pa.binary()),
+                        pa.array([x for c in unheld for x in c.values()], pa.int64()),
+                        pa.array([codes.unseen(x) for c in unheld for x in c], pa.float64()),
+                    ],
+                    ["word", "times", "unseen"],
+                )
+                ends = pa.array(np.cumsum([0, *map(len, unheld)]), pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        some.column(0),
+                        some.column(1),
+                        pa.array(sizes, pa.int64()),
+                        pa.array(packed, pa.binary()),
+                        pa.ListArray.from_arrays(ends, rare),
+                    ],
+                    ["doc_id", "row", "n_words", "codes", "rare"],
+                )
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), "text")
+    return materialize(rows.mapInArrow(run, f"doc_id {kind}, {CODED}"), "coded")
+
+
+def _blocks(batches, most: int):
+    """Of batches with codes last: lists of (batch, row, codes) of about ``most`` words or one text, in order."""
     held, size = [], 0
     for b in batches:
-        texts = b.column(b.num_columns - 1)
-        for i in range(b.num_rows):
-            words = words_of(texts[i].as_py())
-            one = np.fromiter(map(codes.__getitem__, words), np.int64, len(words))
-            held.append((b, i, one, [words[j] for j in np.flatnonzero(one >= codes.unheld).tolist()] if rare else []))
-            size += len(one)
+        for i, x in enumerate(b.column(b.num_columns - 1)):
+            held.append((b, i, np.frombuffer(x.as_py(), np.int32)))
+            size += len(held[-1][2])
             if size >= most:
                 yield held
                 held, size = [], 0
@@ -269,40 +326,51 @@ def _code_blocks(batches, codes: Codes, most: int, rare: bool):
         yield held
 
 
-def train(docs: DataFrame, rounds: int = ROUNDS) -> tuple[Words, dict[str, np.ndarray]]:
-    """The corpus's words and the weights, from all documents of ``docs(doc_id, text)``."""
-    words = corpus_words(docs)
-    sc, w = docs.sparkSession.sparkContext, start_weights(words.size)
+def train_on(coded: DataFrame, words: Words, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
+    """The weights, from all documents of a coded table."""
+    sc, w = coded.sparkSession.sparkContext, start_weights(words.size, of_id=words.of_id())
+    ids_of, edge = Codes(words.to_tasks()).ids, words.size
+    shards = max(1, isqrt(words.total) // PER_SHARD)
     for r in range(rounds):
-        shared = sc.broadcast((words.to_tasks(held=False), w))
+        shared = sc.broadcast((ids_of, w))
 
         def run(batches, shared=shared):
-            codes, trainer, edge = Codes(shared.value[0]), Trainer(shared.value[1]), shared.value[0].size
-            for held in _code_blocks(batches, codes, STEP, rare=False):
-                full = [codes.ids[one] for _, _, one, _ in held if len(one)]
+            ids, trainer = shared.value[0], Trainer(shared.value[1])
+            for held in _blocks(batches, GATHER):
+                full = [ids[one] for _, _, one in held if len(one)]
                 if not full:
                     continue
                 ctx, all_ids = np.concatenate([contexts(x, edge) for x in full], axis=1), np.concatenate(full)
-                for i in range(0, len(all_ids), 2 * STEP):
-                    trainer.step(ctx[:, i : i + 2 * STEP], all_ids[i : i + 2 * STEP])
+                for i in range(0, len(all_ids), STEP):
+                    trainer.step(ctx[:, i : i + STEP], all_ids[i : i + STEP])
             if trainer.words:
-                v = flat(trainer.w) * trainer.words
+                v = flat(trainer.w).astype("<f4")
+                parts = [v[i : i + BLOCK].tobytes() for i in range(0, len(v), BLOCK)]
+                n = np.full(len(parts), trainer.words)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(len(v), dtype=np.int32)), pa.array(v), pa.array(np.full(len(v), trainer.words))],
-                    ["place", "v", "n"],
+                    [pa.array(np.arange(len(parts), dtype=np.int32)), pa.array(parts, pa.binary()), pa.array(n)],
+                    ["block", "v", "n"],
                 )
 
-        part = docs.select("text").where(F.pmod(text_key(F.col("text")), F.lit(rounds)) == r)
-        part = part.repartition(max(1, -(-words.total // (rounds * SHARD))))
-        sums = part.mapInArrow(run, "place int, v double, n long").groupBy("place").agg(
-            (F.sum("v") / F.sum("n")).alias("v")
-        )
-        got = sums.toPandas()  # a row for each weight, some 90 for each id
-        if len(got):
-            v = np.empty(len(got))
-            v[got["place"].to_numpy()] = got["v"].to_numpy()
-            w = unflat(v, words.size)
-    return words, w
+        def average(part: pa.Table) -> pa.Table:
+            total, n = 0.0, 0
+            for x, words_seen in zip(part["v"], part["n"].to_pylist()):
+                total = total + np.frombuffer(x.as_py(), "<f4").astype(np.float64) * words_seen
+                n += words_seen
+            return pa.table({"block": part["block"][:1], "v": pa.array([(total / n).astype("<f4").tobytes()], pa.binary())})
+
+        dealt = coded.where(F.pmod(F.xxhash64("row"), F.lit(rounds)) == r).select("row", "codes").repartition(shards, "row")
+        sums = dealt.select("codes").mapInArrow(run, "block int, v binary, n long")
+        got = sums.groupBy("block").applyInArrow(average, "block int, v binary").orderBy("block").collect()
+        if got:  # the weights themselves: some 90 for each id
+            w = unflat(np.frombuffer(b"".join(bytes(x["v"]) for x in got), "<f4"), words.size)
+    return w
+
+
+def train(docs: DataFrame, rounds: int = ROUNDS) -> tuple[Words, dict[str, np.ndarray]]:
+    """The corpus's words and the weights, from all documents of ``docs(doc_id, text)``."""
+    words = corpus_words(docs)
+    return words, train_on(code(docs, words), words, rounds)
 
 
 def score(docs: DataFrame, words: Words, w: dict[str, np.ndarray]) -> DataFrame:
@@ -310,50 +378,36 @@ def score(docs: DataFrame, words: Words, w: dict[str, np.ndarray]) -> DataFrame:
 
     Null, empty and blank texts have no word: sum 0 and no mean.  Repeated rows give repeated rows, an empty table none.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((words.to_tasks(), w))
+    return score_coded(code(docs, words), words, w)
+
+
+def score_coded(rows: DataFrame, words: Words, w: dict[str, np.ndarray]) -> DataFrame:
+    """:func:`score` of a coded table."""
+    codes = Codes(words.to_tasks())
+    shared = rows.sparkSession.sparkContext.broadcast((codes.ids, codes.share, w))
+    edge = words.size
 
     def run(batches):
-        codes, weights, edge = Codes(shared.value[0]), shared.value[1], shared.value[0].size
-        for held in _code_blocks(batches, codes, SCORE_STEP, rare=True):
-            sizes = np.array([len(one) for _, _, one, _ in held])
+        ids, share, weights = shared.value
+        for held in _blocks(batches, GATHER):
+            sizes = np.array([len(one) for _, _, one in held])
             total = np.zeros(len(held))
-            all_codes = np.concatenate([one for _, _, one, _ in held])
+            all_codes = np.concatenate([one for _, _, one in held])
             if len(all_codes):
-                all_ids = codes.ids[all_codes]
-                ctx = np.concatenate([contexts(codes.ids[one], edge) for _, _, one, _ in held], axis=1)
+                all_ids = ids[all_codes]
+                ctx = np.concatenate([contexts(ids[one], edge) for _, _, one in held], axis=1)
                 logs = np.concatenate(
                     [
-                        log_probabilities(weights, ctx[:, i : i + SCORE_STEP], all_ids[i : i + SCORE_STEP])
-                        for i in range(0, len(all_ids), SCORE_STEP)
+                        log_probabilities(weights, ctx[:, i : i + STEP], all_ids[i : i + STEP])
+                        for i in range(0, len(all_ids), STEP)
                     ]
                 ).astype(np.float64)
-                total = np.bincount(np.repeat(np.arange(len(held)), sizes), logs + codes.share[all_codes], len(held))
-            unheld = [Counter(rare) for _, _, _, rare in held]
-            ends = np.cumsum([0, *map(len, unheld)])
-            rare = pa.StructArray.from_arrays(
-                [
-                    pa.array([x for c in unheld for x in c], pa.binary()),
-                    pa.array([x for c in unheld for x in c.values()], pa.int64()),
-                    pa.array([codes.unseen(x) for c in unheld for x in c], pa.float64()),
-                ],
-                ["word", "times", "unseen"],
-            )
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([b.column(0)[i].as_py() for b, i, _, _ in held], pa.int64()),
-                    pa.array([b.column(1)[i].as_py() for b, i, _, _ in held], held[0][0].column(1).type),
-                    pa.array(sizes),
-                    pa.array(total),
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rare),
-                ],
-                ["row", "doc_id", "n_words", "part", "rare"],
-            )
+                total = np.bincount(np.repeat(np.arange(len(held)), sizes), logs + share[all_codes], len(held))
+            columns = [pa.array([b.column(k)[i].as_py() for b, i, _ in held], held[0][0].column(k).type) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(sizes), pa.array(total)], ["row", "doc_id", "n_words", "part"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(
-        run, f"row long, doc_id {kind}, n_words long, part double, rare array<struct<word: binary, times: long, unseen: double>>"
-    )
-    rows = materialize(rows, "scored")  # fixes the numbers of the rows, which are read twice
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    known = rows.select("row", "doc_id", "codes").mapInArrow(run, f"row long, doc_id {kind}, n_words long, part double")
     # unheld words lack the logarithm of the count, or, where not in the corpus, that of the part left for them
     counted = words.counts.select("word", F.log("n").alias("log_n"))
     rare = rows.select("row", F.explode("rare").alias("r")).select("row", "r.*").join(counted, "word", "left")
@@ -363,7 +417,7 @@ def score(docs: DataFrame, words: Words, w: dict[str, np.ndarray]) -> DataFrame:
         F.lit(None).cast("long").alias("n_words"),
         (F.col("times") * F.coalesce("log_n", "unseen")).alias("part"),
     )
-    summed = rows.drop("rare").unionByName(rare).groupBy("row").agg(
+    summed = known.unionByName(rare).groupBy("row").agg(
         F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), F.sum("part").alias("log_likelihood")
     )
     mean = F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words"))

@@ -74,10 +74,12 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from carelake.llm.pseudo_likelihood import score, train
+    from carelake.llm.pseudo_likelihood import code, corpus_words, score_coded, train_on
 
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return score(docs, *train(docs))
+    words = corpus_words(docs)
+    coded = code(docs, words)
+    return score_coded(coded, words, train_on(coded, words))
 
 
 def op7_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
