@@ -39,15 +39,17 @@ OWN_LEAST, PER_OWN = 448, 8
 #: Words without an id of their own whose counts the tasks hold; counts of the others are joined.
 HELD = 200_000
 SIDE, HIDDEN = 2, 16
-ROUNDS, RATE = 2, 0.4
-#: Words of one step, and of one matrix when scoring: few enough for the matrices to stay in a processor's cache.
-STEP = 2048
+ROUNDS, RATE = 2, 0.5
+#: Words of a training step: half the square root of the corpus's words, between these.
+STEP_LEAST, STEP = 256, 4096
+#: Words in a matrix at once when scoring.
+SCORE_STEP = 1 << 14
 #: A round has one shard for each so many of the square root of the corpus's words.
 PER_SHARD = 750
 #: Weights in a block of the average.
 BLOCK = 1 << 14
 #: Words that are put together before they are cut into steps.
-GATHER = 8 * STEP
+GATHER = 1 << 15
 FLUSH = 200_000
 
 
@@ -129,14 +131,30 @@ def count_words(docs: DataFrame) -> DataFrame:
     return materialize(counts, "words")
 
 
+def _most_frequent(counts: DataFrame, own: int, held: int) -> list[tuple[bytes, int]]:
+    """The ``own`` most frequent words (ties by word) and, after them, the next ones down to a count that keeps them
+    within ``held``: a bound for the driver from a histogram of counts, an eighth of an octave wide."""
+    level = F.floor(F.log2("n") * 8)
+    levels = sorted(map(tuple, counts.groupBy(level.alias("l")).agg(F.count("*")).collect()), reverse=True)
+    lowest, found = None, 0
+    for at, n in levels:
+        if found + n > own + held:
+            break
+        lowest, found = at, found + n
+    if found < own:
+        rows = counts.orderBy(F.col("n").desc(), "word").limit(own)
+    else:
+        rows = counts.where(level >= lowest) if lowest is not None else counts.limit(0)
+    return sorted(((bytes(r["word"]), r["n"]) for r in rows.select("word", "n").collect()), key=lambda x: (-x[1], x[0]))
+
+
 def corpus_words(docs: DataFrame) -> Words:
     counts = count_words(docs)
     total = counts.agg(F.sum("n")).first()[0] or 0
     own = max(OWN_LEAST, isqrt(total) // PER_OWN)
     side = isqrt(own + own // 7 - 1) + 1  # about one id in eight is shared
     shared = side * side - own
-    top = counts.orderBy(F.col("n").desc(), "word").limit(own + HELD).collect()
-    top = [(bytes(r["word"]), r["n"]) for r in top]
+    top = _most_frequent(counts, own, HELD)
     of_id = counts.groupBy(F.pmod(F.crc32("word"), F.lit(shared)).alias("slot")).agg(F.sum("n"), F.count("*")).collect()
     n, kinds = np.zeros(shared, np.int64), np.zeros(shared, np.int64)
     for slot, words, distinct in of_id:
@@ -331,6 +349,7 @@ def train_on(coded: DataFrame, words: Words, rounds: int = ROUNDS) -> dict[str,
     sc, w = coded.sparkSession.sparkContext, start_weights(words.size, of_id=words.of_id())
     ids_of, edge = Codes(words.to_tasks()).ids, words.size
     shards = max(1, isqrt(words.total) // PER_SHARD)
+    step = min(STEP, max(STEP_LEAST, isqrt(words.total) // 2))
     for r in range(rounds):
         shared = sc.broadcast((ids_of, w))
 
@@ -341,8 +360,8 @@ def train_on(coded: DataFrame, words: Words, rounds: int = ROUNDS) -> dict[str,
                 if not full:
                     continue
                 ctx, all_ids = np.concatenate([contexts(x, edge) for x in full], axis=1), np.concatenate(full)
-                for i in range(0, len(all_ids), STEP):
-                    trainer.step(ctx[:, i : i + STEP], all_ids[i : i + STEP])
+                for i in range(0, len(all_ids), step):
+                    trainer.step(ctx[:, i : i + step], all_ids[i : i + step])
             if trainer.words:
                 v = flat(trainer.w).astype("<f4")
                 parts = [v[i : i + BLOCK].tobytes() for i in range(0, len(v), BLOCK)]
@@ -398,8 +417,8 @@ def score_coded(rows: DataFrame, words: Words, w: dict[str, np.ndarray]) -> Data
                 ctx = np.concatenate([contexts(ids[one], edge) for _, _, one in held], axis=1)
                 logs = np.concatenate(
                     [
-                        log_probabilities(weights, ctx[:, i : i + STEP], all_ids[i : i + STEP])
-                        for i in range(0, len(all_ids), STEP)
+                        log_probabilities(weights, ctx[:, i : i + SCORE_STEP], all_ids[i : i + SCORE_STEP])
+                        for i in range(0, len(all_ids), SCORE_STEP)
                     ]
                 ).astype(np.float64)
                 total = np.bincount(np.repeat(np.arange(len(held)), sizes), logs + share[all_codes], len(held))
