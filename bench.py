@@ -2,11 +2,11 @@
 
 Steps (each timed with a full execution into Spark's ``noop`` sink, best of
 two runs for queries):
-  load_full        RAW (from driver tables) -> rules -> dedup -> bucketed CORE
-                   MERGE -> MART refresh (both levels), into a fresh scratch dir
-  merge_increment  a second billing load (overlapping window) merged into CORE,
-                   rewriting only the touched buckets, with the additive MART
-                   aggregates updated by delta (+new - replaced) instead of rebuilt
+  load_full        RAW (from driver tables) -> rules -> dedup -> CORE MERGE ->
+                   kept aggregates and MART refresh, into a fresh scratch dir
+  merge_increment  a second billing load (overlapping window, most of the table)
+                   committed to CORE as a delta, with the kept aggregates and the
+                   orphan ledger advanced from its change set
   q:<name>         dashboard / KPI queries over the stored MART snapshots
   e2e:<name>       registered queries computed lazily from the driver tables
 """
