@@ -6,7 +6,8 @@ the expected count of each piece.  A text's score in a language is the product o
 of all their segmentations (forward pass); the answer is the language of the largest, with its posterior.
 
 Words are counted by language first, so passes run over distinct words; only piece counts (pieces x languages) reach the
-driver.  Inside a task, words of one length form a matrix, and each pass is a few array operations for each place.
+driver.  Inside a task, words of one length form a matrix, and each pass is a few array operations for each place.  A run
+of letters is passed over whole, however long: sums are scaled as they go, so none runs out of range.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,8 +25,8 @@ from carelake.llm.common import materialize
 
 #: Rounds of expectation maximisation.
 ROUNDS = 3
-#: Letters of a word that are segmented together; longer runs are cut into such parts.
-MAX_WORD = 24
+#: Places between two scalings of the sums, and places times words in a matrix.
+SCALED, CELLS = 8, 1 << 18
 #: Probability of a letter that no piece covers, and count added to each piece.
 UNKNOWN, SMOOTH = 1e-7, 0.05
 #: Distinct words a worker remembers.
@@ -33,28 +35,28 @@ MEMO = 400_000
 FLUSH = 200_000
 _START = "▁"
 
-_runs = re.compile(r"[^\W\d_]+").findall
+_runs = regex.compile(r"[\p{L}\p{M}]+").findall
+_latin_runs = re.compile(r"[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\u024f]+").findall
+_beyond_latin = re.compile(r"[^\x00-\u024f\u2000-\u206f\u20ac]").search
 
 
 def vocabulary(model_path: str) -> list[str]:
-    """Lower-case pieces of letters (with or without the word-start mark) of a sentencepiece model, by code point."""
+    """Lower-case pieces of letters and their marks (with or without the word-start mark) of a sentencepiece model, by
+    code point."""
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_file=model_path)
     pieces = {sp.id_to_piece(i).lower() for i in range(sp.get_piece_size())}
-    return sorted(p for p in pieces if p.removeprefix(_START).isalpha() and len(p) <= MAX_WORD + 1)
+    whole = regex.compile(r"[\p{L}\p{M}]+").fullmatch
+    return sorted(p for p in pieces if whole(p.removeprefix(_START)))
 
 
 def letters(text: str) -> list[str]:
-    """Runs of word characters of the lower-cased text that hold a letter."""
-    return _runs(text.lower())
-
-
-def word_parts(run: str) -> list[str]:
-    """A run's letters as marked parts of at most MAX_WORD letters."""
-    if not run.isalpha():
-        run = "".join(c for c in run if c.isalpha())
-    return [(_START if i == 0 else "") + run[i : i + MAX_WORD] for i in range(0, len(run), MAX_WORD)]
+    """Runs of letters and combining marks of the lower-cased text that hold a letter."""
+    low = text.lower()
+    if not _beyond_latin(low):  # the same runs: no marks there, and letters are a short list
+        return _latin_runs(low)
+    return [w for w in _runs(low) if w.isalpha() or any(map(str.isalpha, w))]
 
 
 class Lattice:
@@ -102,38 +104,61 @@ class Lattice:
             if whole.any():
                 yield start + m + 1, rows[whole], found[whole]
 
-    def forward(self, words: list[str], p: np.ndarray, keep: list | None = None) -> np.ndarray:
-        """alpha[place][word, language]: summed probability of all segmentations up to a place."""
+    def forward(self, words: list[str], p: np.ndarray, keep: list | None = None, scales: list | None = None) -> np.ndarray:
+        """alpha[place][word, language]: summed probability of all segmentations up to a place.
+
+        With ``scales``, sums are divided by their own size at every SCALED-th place; it gets a row for each place: the
+        logarithms of what its sums were divided by in all.
+        """
         codes = self.codes(words)
         n = codes.shape[1]
         alpha = np.zeros((n + 1, len(words), p.shape[1]))
         alpha[0] = 1.0
+        reach, divided = len(self.by_length), np.zeros(alpha.shape[1:])
         for s in range(n):
+            if scales is not None:
+                if s % SCALED == 0 and s:
+                    divided = divided + np.log(alpha[s])
+                    alpha[s : s + reach + 1] /= alpha[s].copy()
+                scales.append(divided)
             alpha[s + 1] += alpha[s] * UNKNOWN  # the letter that no piece covers
             for e, rows, ids in self.arcs(codes, s):
                 alpha[e][rows] += alpha[s][rows] * p[ids]
                 if keep is not None:
                     keep.append((s, e, rows, ids))
+        if scales is not None:
+            scales.append(divided)
         return alpha
 
+    def log_total(self, words: list[str], p: np.ndarray) -> np.ndarray:
+        """Of words of one length, the logarithm of the probability summed over all segmentations, by language."""
+        scales: list = []
+        last = self.forward(words, p, scales=scales)[-1]
+        return np.log(last) + scales[-1]
+
     def expected(self, words: list[str], counts: np.ndarray, p: np.ndarray) -> np.ndarray:
         """Expected count of each piece in words of one length and one language (p: one column)."""
         arcs: list = []
-        alpha = self.forward(words, p, arcs)[:, :, 0]
-        n = len(words[0])
-        beta = np.zeros_like(alpha)
+        scales: list = []
+        alpha = self.forward(words, p, arcs, scales)[:, :, 0]
+        n, reach = len(words[0]), len(self.by_length)
+        total = np.log(alpha[n]) + scales[n][:, 0]
+        beta, divided = np.zeros_like(alpha), np.zeros(len(words))
         beta[n] = 1.0
         out = np.zeros(self.size)
-        weight = counts / alpha[n]
         by_start: dict[int, list] = {}
         for s, *arc in arcs:
             by_start.setdefault(s, []).append(arc)
         for s in range(n - 1, -1, -1):
             beta[s] += beta[s + 1] * UNKNOWN
+            weight = counts * alpha[s] * np.exp(scales[s][:, 0] + divided - total)
             for e, rows, ids in by_start.get(s, ()):
                 through = p[ids, 0] * beta[e][rows]
                 beta[s][rows] += through
-                out += np.bincount(ids, through * (alpha[s] * weight)[rows], self.size)
+                out += np.bincount(ids, through * weight[rows], self.size)
+            if s % SCALED == 0 and s:
+                divided = divided + np.log(beta[s])
+                beta[s : s + reach + 1] /= beta[s].copy()
         return out
 
 
@@ -144,6 +169,13 @@ def _by_length(words):
     return groups
 
 
+def _portions(members: list[int], size: int):
+    """Words of one length in matrices of some CELLS places."""
+    most = max(1, CELLS // (size + 2))
+    for i in range(0, len(members), most):
+        yield members[i : i + most]
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """``(lang, word, n)`` over all documents of ``docs(lang, text)`` with both; counted in tasks before the shuffle."""
 
@@ -183,19 +215,15 @@ def train(docs: DataFrame, pieces: list[str], rounds: int = ROUNDS) -> tuple[lis
             lattice, probs = Lattice(shared.value[0]), shared.value[1]
             total = np.zeros_like(probs)
             for b in batches:
-                lang = b.column(0).to_pylist()
-                parts, of, n = [], [], []
-                for i, (w, c) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist())):
-                    for part in word_parts(w):
-                        parts.append(part)
-                        of.append(at[lang[i]])
-                        n.append(c)
+                lang, found, n = (b.column(k).to_pylist() for k in range(3))
                 groups: dict = {}
-                for i, part in enumerate(parts):
-                    groups.setdefault((of[i], len(part)), []).append(i)
-                for (j, _), ids in groups.items():
-                    weights = np.array([n[i] for i in ids], float)
-                    total[:, j] += lattice.expected([parts[i] for i in ids], weights, probs[:, j : j + 1])
+                for i, w in enumerate(found):
+                    groups.setdefault((at[lang[i]], len(w)), []).append(i)
+                for (j, size), members in groups.items():
+                    for ids in _portions(members, size):
+                        weights = np.array([n[i] for i in ids], float)
+                        marked = [_START + found[i] for i in ids]
+                        total[:, j] += lattice.expected(marked, weights, probs[:, j : j + 1])
             piece, j = np.nonzero(total)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(piece.astype(np.int32)), pa.array(j.astype(np.int32)), pa.array(total[piece, j])],
@@ -225,17 +253,10 @@ class _Scores(dict):
             self.clear()
             self.rows = np.zeros((0, self.p.shape[1]))
             new = list(runs)
-        parts, of = [], []
-        for i, w in enumerate(new):
-            for part in word_parts(w):
-                parts.append(part)
-                of.append(i)
         logs = np.zeros((len(new), self.p.shape[1]))
-        for _, ids in _by_length(parts).items():
-            for i in range(0, len(ids), 8192):
-                some = ids[i : i + 8192]
-                last = self.lattice.forward([parts[x] for x in some], self.p)[-1]
-                np.add.at(logs, [of[x] for x in some], np.log(last))
+        for size, members in _by_length(new).items():
+            for ids in _portions(members, size):
+                logs[ids] = self.lattice.log_total([_START + new[i] for i in ids], self.p)
         base = len(self.rows)
         self.rows = np.concatenate((self.rows, logs))
         self.update(zip(new, range(base, base + len(new))))
@@ -259,7 +280,7 @@ def predict(docs: DataFrame, pieces: list[str], langs: list[str], p: np.ndarray)
                     scores.learn(set().union(*texts))
                 names, values = [], []
                 for words in texts:
-                    if scores is None or not any(w.isalpha() or any(map(str.isalpha, w)) for w in words):
+                    if scores is None or not words:
                         names.append("und")
                         values.append(0.0)
                         continue
