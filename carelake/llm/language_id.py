@@ -26,7 +26,7 @@ from carelake.llm.common import materialize
 #: Rounds of expectation maximisation.
 ROUNDS = 3
 #: Places between two scalings of the sums, and places times words in a matrix.
-SCALED, CELLS = 8, 1 << 18
+SCALED, CELLS = 16, 1 << 16
 #: Probability of a letter that no piece covers, and count added to each piece.
 UNKNOWN, SMOOTH = 1e-7, 0.05
 #: Distinct words a worker remembers.
