@@ -15,7 +15,7 @@ from carelake.sources.sinks import committed, delete, list_names
 from carelake.sources.tables import core_table
 
 #: Snapshots of each MART table, and loads whose notes are kept.
-KEEP_SNAPSHOTS, KEEP_LOADS = 3, 100
+KEEP_SNAPSHOTS, KEEP_LOADS = 3, 1000
 
 
 def retain(spark: SparkSession, root: str, *, keep_versions: int = versioned.KEEP_VERSIONS,

@@ -149,7 +149,7 @@ def compact_files(spark: SparkSession, root: str, domain: str) -> None:
     delete(spark, folded)
 
 
-def fold_claims(spark: SparkSession, root: str, keep: int = 100) -> int:
+def fold_claims(spark: SparkSession, root: str, keep: int = 1000) -> int:
     """Drop the notes of finished loads but the newest ``keep``: a stream replays its last micro-batch only, and a bulk
     load that is repeated under its key after so many others counts as a new one.  Returns how many went."""
     with _LOCK:

@@ -105,6 +105,11 @@ def _write_index(spark: SparkSession, table: Table, segment: str, schema: Struct
     return files
 
 
+def _drop(spark: SparkSession, path: str, segment: str) -> None:
+    delete(spark, f"{path}/seg={segment}")
+    delete(spark, f"{path}/_index/{segment}")
+
+
 def live_files(spark: SparkSession, path: str, state: dict) -> list[dict]:
     """Every live base file of a version, with its segment."""
     out = []
@@ -217,7 +222,7 @@ def merge(spark: SparkSession, table: Table, batch: DataFrame, seq: int) -> int
             clustered(first, table).write.parquet(place)
             files = _write_index(spark, table, name, first.schema)
             if not files:
-                delete(spark, place)
+                _drop(spark, path, name)
                 return None
             new = {"version": 0, "schema": first.schema.json(), "base": [{"name": name, "dropped": []}], "deltas": [],
                    "touched": []}
@@ -235,7 +240,7 @@ def merge(spark: SparkSession, table: Table, batch: DataFrame, seq: int) -> int
             delta.write.parquet(place)
             files = _write_index(spark, table, name, schema)
             if not files:
-                delete(spark, place)
+                _drop(spark, path, name)
                 return state["version"]
             replaced = spark.read.parquet(place).filter("_old_file is not null").select("_old_file").distinct().collect()
             base = {s["name"] for s in state["base"]}
@@ -246,8 +251,7 @@ def merge(spark: SparkSession, table: Table, batch: DataFrame, seq: int) -> int
         if _commit(spark, path, new):
             return new["version"]
         # Another writer took the number: what it changed decides anew which rows win.
-        delete(spark, place)
-        delete(spark, f"{path}/_index/{name}")
+        _drop(spark, path, name)
     raise RuntimeError(f"{path}: {ATTEMPTS} other commits came first")
 
 
@@ -302,8 +306,7 @@ def compact(spark: SparkSession, table: Table) -> int | None:
                      "base": [*base, {"name": name, "dropped": []}], "deltas": later, "touched": still}
         if _commit(spark, path, new):
             return new["version"]
-    delete(spark, f"{path}/seg={name}")
-    delete(spark, f"{path}/_index/{name}")
+    _drop(spark, path, name)
     return entry(spark, path)["version"]
 
 
@@ -387,8 +390,7 @@ def vacuum(spark: SparkSession, path: str, keep: int = KEEP_VERSIONS, grace: flo
         if not name.startswith("seg=") or (name := name[4:]) in needed:
             continue
         if name in known or time.time() - st.getModificationTime() / 1000 > grace:
-            delete(spark, f"{path}/seg={name}")
-            delete(spark, f"{path}/_index/{name}")
+            _drop(spark, path, name)
             gone += 1
     for v in found:
         if v not in held:

@@ -41,7 +41,9 @@ def test_latest_load_wins_in_any_order(spark, table):
     # first-insert time is kept; a replay changes nothing and makes no version
     assert all(r._cleaned_at == cleaned[r.id] for r in V.read(spark, table).collect() if r.id != 500)
     assert V.merge(spark, table, batch(spark, [*range(15, 25), 500], "two"), 2) == late
-    assert V.versions(spark, table.path)[-1] == late
+    assert V.merge(spark, table, batch(spark, [], "x"), 4) == late and V.versions(spark, table.path)[-1] == late
+    named = {n.removeprefix("seg=") for n in list_names(spark, table.path) if n.startswith("seg=")}
+    assert named == set(list_names(spark, f"{table.path}/_index")) and len(named) == 3
     new, old = V.changes(spark, table, 0, late)
     assert sorted(r.id for r in new.collect()) == sorted([*range(10, 20), *range(20, 25), 500])
     assert {r.v for r in old.collect()} == {"one"} and old.count() == 15

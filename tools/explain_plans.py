@@ -23,6 +23,9 @@ NOTES = {
     "vw_doctor_performance": "J2 with hot doctor keys: facts reduced to distinct (doctor, patient) pairs "
                              "first, then joined to the ten-row dimension.",
     "dt_payment_revenue": "Pruned scan: only the lineitem columns the lineage needs are read.",
+    "rejection_summary": "S11/V2: the rules stand once in each domain's projection, below an outer generate; no filter "
+                         "repeats them. Grouped with partial counts before the exchange.",
+    "payer_mix": "W3: the total is a scalar subquery over the groups; no window without a partition.",
     "fk_orphans": "J6: left anti joins on patient_key against the dimension's key column only.",
     "page_top_services": "O3 top-k: TakeOrderedAndProject after pre-aggregation per service key.",
 }
