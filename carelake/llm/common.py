@@ -67,3 +67,15 @@ def text_key(text: Column) -> Column:
     """Key of a text next to its doc_id: rows that repeat a doc_id with other words stay apart, rows that
     repeat both get the same decision."""
     return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def free_names(columns: list[str], *names: str) -> list[str]:
+    """``names``, each lengthened until no column has it (Spark compares them without case)."""
+    used = {c.lower() for c in columns}
+    out = []
+    for name in names:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        out.append(name)
+    return out

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelake.llm.common import checkpointed, materialize, text_key
+from carelake.llm.common import checkpointed, free_names, materialize, text_key
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -172,7 +172,8 @@ def kept_text(text: str | None, keep: bytes | None) -> tuple[str, int, int]:
 
 
 def with_bitmaps(docs: DataFrame) -> DataFrame:
-    """``docs`` with the column ``__keep``: the row's bitmap, or null if it loses no line.
+    """``docs`` with a last column ``keep`` (a longer name if ``docs`` has one): the row's bitmap, or null if it loses
+    no line.
 
     Documents are told apart by doc_id (a null id counts as one document below all others); rows that repeat a
     doc_id with other text count as the same document but have their own bitmap.  Null or empty text is one empty
@@ -184,7 +185,8 @@ def with_bitmaps(docs: DataFrame) -> DataFrame:
     same = (F.coalesce(F.col("d.doc_id").cast("long"), F.lit(_NULL_ID)) == F.col("b.doc")) & (
         text_key(F.col("d.text")) == F.col("b.tkey")
     )
-    return d.join(maps, same, "left").select(*[F.col(f"d.`{c}`") for c in docs.columns], F.col("b.keep").alias("__keep"))
+    (keep,) = free_names(docs.columns, "keep")
+    return d.join(maps, same, "left").select(*[F.col(f"d.`{c}`") for c in docs.columns], F.col("b.keep").alias(keep))
 
 
 def drop_lines(docs: DataFrame) -> DataFrame:

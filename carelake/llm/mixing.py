@@ -5,9 +5,8 @@ the source's words up to its end divided by the source's target, so sources adva
 Served runs are ordered by finish time over all sources, and the mix ends where the total budget is spent.  Service
 is by word: the run that crosses its source's target (time one) is cut there.
 
-Running sums over a hot source or over all runs never go through one task: a range of the order (a prefix of the
-shuffle key, a step of the virtual time) is summed first, the few range sums are accumulated, and rows are
-accumulated inside their range only.
+Running sums, over the sources, a hot source or all runs, never go through one task: ranged() sorts by ranges of about
+equal rows, accumulates the few range sums, and accumulates rows inside their range only.
 """
 
 from __future__ import annotations
@@ -15,16 +14,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from carelake.llm.common import WORD_RE, materialize, text_key
+from carelake.llm.common import WORD_RE, free_names, materialize, text_key
 
 #: Times a document may be taken.
 MAX_EPOCHS = 3
 #: Weights of the sources in order, repeating.
 WEIGHTS = (1, 2, 3)
-#: Hex digits of the shuffle key that make a range: 16**3 ranges for each source.
-PREFIX = 3
-#: Steps of virtual time up to one.
-STEPS = 16384
+
+
+def ranged(rows: DataFrame, order: list[str], *sums: str) -> DataFrame:
+    """``rows`` and, for each column of ``sums``, ``<column>_before``: its sum over all rows earlier in ``order``.
+
+    ``order`` tells all rows apart, so Spark's sampled ranges hold about equal rows whatever repeats.  They are written
+    with their number before anything is summed, so a lost executor can't move a row.  One row for each range meets in a
+    task, as many as the shuffle has partitions.
+    """
+    cut = materialize(rows.repartitionByRange(*order).withColumn("pid", F.spark_partition_id()), "ranged")
+    earlier = Window.partitionBy(F.lit(0)).orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    parts = cut.groupBy("pid").agg(*(F.sum(c).alias(c) for c in sums))
+    parts = parts.select("pid", *(F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_start") for c in sums))
+    for c in sums:
+        cut = cut.withColumn(f"{c}_in", F.coalesce(F.sum(c).over(inside), F.lit(0)))
+    return cut.join(parts, "pid").select(
+        *rows.columns, *((F.col(f"{c}_start") + F.col(f"{c}_in")).alias(f"{c}_before") for c in sums)
+    )
 
 
 def sized_documents(docs: DataFrame) -> DataFrame:
@@ -39,31 +53,28 @@ def sized_documents(docs: DataFrame) -> DataFrame:
 
 
 def source_targets(sized: DataFrame) -> DataFrame:
-    """``(skey, source_size, total, target)``, a row for each source.
+    """``(skey, source_size, source_start, total, target)``, a row for each source; source_start: sizes of those before.
 
     A target is min(weight * level, 3 * size): the level at which the targets sum to all sizes is what resharing
     the excess by weight ends at.  With sources in order of 3 * size / weight, it is found where the sources before
-    are full and this one is not.  Works on one row for each source.
+    are full and this one is not.  Any number of sources: the driver gets their sums and the level only.
     """
     cases = F.lit(WEIGHTS[-1])
     for i, w in enumerate(WEIGHTS[:-1]):
-        cases = F.when((F.col("n") - 1) % len(WEIGHTS) == i, w).otherwise(cases)
-    s = sized.groupBy("skey").agg(F.sum("size").alias("source_size"))
-    s = s.withColumn("n", F.row_number().over(Window.orderBy("skey"))).withColumn("w", cases.cast("long"))
-    s = s.withColumn("cap", F.col("source_size") * MAX_EPOCHS).withColumn(
-        "full_at", F.col("cap").cast("double") / F.col("w")
-    )
-    order = Window.orderBy("full_at", "skey")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    rest = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    every = Window.partitionBy(F.lit(0))
-    s = s.withColumn("total", F.sum("source_size").over(every)).withColumn(
-        "level",
-        (F.col("total") - F.coalesce(F.sum("cap").over(before), F.lit(0))).cast("double") / F.sum("w").over(rest),
+        cases = F.when(F.col("one_before") % len(WEIGHTS) == i, w).otherwise(cases)
+    s = sized.groupBy("skey").agg(F.sum("size").alias("source_size")).withColumn("one", F.lit(1).cast("long"))
+    s = ranged(s, ["skey"], "one", "source_size").withColumn("w", cases.cast("long"))
+    s = s.withColumn("cap", F.col("source_size") * MAX_EPOCHS)
+    s = s.withColumn("full_at", F.col("cap").cast("double") / F.col("w"))
+    s = ranged(s, ["full_at", "skey"], "cap", "w")
+    every = s.agg(F.sum("source_size").alias("size"), F.sum("w").alias("w")).first()
+    total, weight = (F.lit(every[c] or 0).cast("long") for c in ("size", "w"))
+    level = (total - F.col("cap_before")).cast("double") / (weight - F.col("w_before"))
+    found = s.agg(F.max(F.when(level <= F.col("full_at"), level))).first()[0]
+    target = F.least(F.col("w") * F.lit(found).cast("double"), F.col("cap").cast("double"))
+    return s.select(
+        "skey", "source_size", F.col("source_size_before").alias("source_start"), total.alias("total"), target.alias("target")
     )
-    s = s.withColumn("found", F.max(F.when(F.col("level") <= F.col("full_at"), F.col("level"))).over(every))
-    target = F.least(F.col("w") * F.col("found"), F.col("cap").cast("double"))
-    return s.select("skey", "source_size", "total", target.alias("target"))
 
 
 def mix(docs: DataFrame) -> DataFrame:
@@ -72,23 +83,15 @@ def mix(docs: DataFrame) -> DataFrame:
     ``taken`` counts the words the mix takes of the row, repeats included: floor(taken / size) whole times and the
     first ``taken % size`` words once more, which happens to one row of a source at most.  Null text: size 0, never
     taken.  A null source is a source of its own, last in order.  The shuffle orders by md5 of doc_id, then doc_id,
-    size and text, so reruns agree; rows that repeat all of these are interchangeable.  Empty table: no rows.
+    size and text, so reruns agree; rows that repeat all of these are interchangeable, and a number written with each
+    of them lets their ranges be divided.  Empty table: no rows.
     """
-    rows = materialize(sized_documents(docs), "sized").withColumn("part", F.substring("okey", 1, PREFIX))
+    rows = materialize(sized_documents(docs).withColumn("salt", F.monotonically_increasing_id()), "sized")
     sources = materialize(source_targets(rows), "sources")
-    parts = rows.groupBy("skey", "part").agg(F.sum("size").alias("part_size"))
-    run = Window.partitionBy("skey").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.withColumn("part_start", F.coalesce(F.sum("part_size").over(run), F.lit(0)))
-    inside = (
-        Window.partitionBy("skey", "part")
-        .orderBy("okey", "doc_id", "size", "tkey")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
     placed = (
-        rows.withColumn("upto", F.sum("size").over(inside))
-        .join(parts.select("skey", "part", "part_start"), ["skey", "part"])
+        ranged(rows, ["skey", "okey", "doc_id", "size", "tkey", "salt"], "size")
         .join(sources, "skey")
-        .withColumn("start", F.col("part_start") + F.col("upto") - F.col("size"))
+        .withColumn("start", F.col("size_before") - F.col("source_start"))
         .select("doc_id", "tkey", "skey", "size", "source_size", "total", "target", "start")
     )
     placed = materialize(placed, "placed")
@@ -102,21 +105,10 @@ def mix(docs: DataFrame) -> DataFrame:
         .where("words > 0")
         .withColumn("finish", (F.col("at") + F.col("words")).cast("double") / F.col("target"))
         .select("skey", "start", "at", "words", "finish", "total")
-        .withColumn("step", F.floor(F.col("finish") * STEPS))
-    )
-    steps = runs.groupBy("step").agg(F.sum("words").alias("step_words"))
-    earlier = Window.partitionBy(F.lit(0)).orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
-    steps = steps.withColumn("step_start", F.coalesce(F.sum("step_words").over(earlier), F.lit(0)))
-    inside = (
-        Window.partitionBy("step")
-        .orderBy("finish", "skey", "at")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     served = (
-        runs.withColumn("upto", F.sum("words").over(inside))
-        .join(steps.select("step", "step_start"), "step")
-        .withColumn("before", F.col("step_start") + F.col("upto") - F.col("words"))
-        .withColumn("served", F.least("words", F.greatest(F.lit(0), F.col("total") - F.col("before"))))
+        ranged(runs, ["finish", "skey", "at"], "words")
+        .withColumn("served", F.least("words", F.greatest(F.lit(0), F.col("total") - F.col("words_before"))))
         .groupBy("skey", "start")
         .agg(F.sum("served").alias("served"))
     )
@@ -142,15 +134,15 @@ def apply_mix(docs: DataFrame) -> DataFrame:
         & (text_key(F.col("d.text")) == F.col("m_key"))
         & (skey == F.col("m_skey")),
     )
-    names = [c for c in docs.columns]
-    keep = [F.col(f"d.`{c}`") for c in names]
-    d = d.select(*keep, F.col("m.size").alias("__size"), F.col("m.taken").alias("__taken"), F.col("m.m_key").alias("__k"))
-    once = d.dropDuplicates(["doc_id", "__k", "source"])
-    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col("__taken") / F.col("__size"))))
-    out = once.withColumn("__copy", copies).withColumn(
-        "__words", F.least(F.col("__size"), F.col("__taken") - (F.col("__copy") - 1) * F.col("__size"))
+    size, taken, key, copy, words = free_names(docs.columns, "size", "taken", "tkey", "copy", "words")
+    keep = [F.col(f"d.`{c}`") for c in docs.columns]
+    d = d.select(*keep, F.col("m.size").alias(size), F.col("m.taken").alias(taken), F.col("m.m_key").alias(key))
+    once = d.dropDuplicates(["doc_id", key, "source"])
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col(taken) / F.col(size))))
+    out = once.withColumn(copy, copies).withColumn(
+        words, F.least(F.col(size), F.col(taken) - (F.col(copy) - 1) * F.col(size))
     )
     spaced = F.regexp_extract_all(F.col("text"), F.lit(r"[\x20\x09-\x0D]*" + WORD_RE), F.lit(0))
-    first = F.array_join(F.slice(spaced, F.lit(1), F.col("__words").cast("int")), "")
-    text = F.when(F.col("__words") == F.col("__size"), F.col("text")).otherwise(first)
-    return out.withColumn("text", text).select(*[F.col(f"`{c}`") for c in names])
+    first = F.array_join(F.slice(spaced, F.lit(1), F.col(words).cast("int")), "")
+    text = F.when(F.col(words) == F.col(size), F.col("text")).otherwise(first)
+    return out.withColumn("text", text).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carelake.llm.common import materialize, text_key
+from carelake.llm.common import free_names, materialize, text_key
 from carelake.llm.components import connected_components
 
 SEED = 42
@@ -132,4 +132,5 @@ def keep_one(docs: DataFrame, shingle: int = 3) -> DataFrame:
     d = docs.alias("d").join(
         best.alias("b"), F.col("d.doc_id").eqNullSafe(F.col("b.d")) & (text_key(F.col("d.text")) == F.col("b.k"))
     )
-    return d.withColumn("__key", F.col("b.k")).select(*names, "__key").dropDuplicates(["doc_id", "__key"]).drop("__key")
+    (key,) = free_names(docs.columns, "key")
+    return d.select(*names, F.col("b.k").alias(key)).dropDuplicates(["doc_id", key]).drop(key)

@@ -151,6 +151,61 @@ def test_mix_targets_and_limits(spark):
     assert served.agg(F.sum(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")))).first()[0] == got.taken.sum()
 
 
+def test_mix_divides_a_hot_id_and_many_sources(spark):
+    rows = [(None, f"w x {'y ' * (i % 3)}", "en", "hot", 1) for i in range(900)]  # one null id, three texts
+    rows += [(i, "w " * (1 + i % 5), "en", f"s{i:04d}", 1) for i in range(600)]  # a source for each document
+    docs = table(spark, rows).repartition(5)
+    old = {k: spark.conf.get(k, None) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "12")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sized = mixing.materialize(mixing.sized_documents(docs).withColumn("salt", F.monotonically_increasing_id()), "s")
+        cut = mixing.ranged(sized, ["skey", "okey", "doc_id", "size", "tkey", "salt"], "size").select(
+            "skey", "okey", "doc_id", "size", "tkey", "salt", "size_before"
+        )
+        upto = 0
+        for r in sorted(cut.collect(), key=lambda r: (r.skey, r.okey, r.doc_id or -1, r.size, r.tkey, r.salt)):
+            assert r.size_before == upto
+            upto += r.size
+        # nothing beyond the shuffle's share meets in a range, though 900 of 1,500 rows share an id
+        share = sized.repartitionByRange("skey", "okey", "doc_id", "size", "tkey", "salt").groupBy(F.spark_partition_id())
+        assert max(r["count"] for r in share.count().collect()) < 3 * 1500 / 12
+        got = mixing.mix(docs).toPandas()
+        again = mixing.mix(docs.repartition(3)).toPandas()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    plan = {}  # targets by plain resharing
+    sizes = got.groupby("skey")["size"].sum().sort_index()
+    weight = {k: 1 + i % 3 for i, k in enumerate(sizes.index)}
+    rest, open_ = float(sizes.sum()), set(sizes.index)
+    while True:
+        level = rest / sum(weight[k] for k in open_)
+        full = {k for k in open_ if weight[k] * level > 3 * sizes[k]}
+        plan |= {k: 3.0 * sizes[k] for k in full}
+        rest, open_ = rest - sum(3.0 * sizes[k] for k in full), open_ - full
+        if not full:
+            plan |= {k: weight[k] * level for k in open_}
+            break
+    by = got.groupby("skey").agg(target=("target", "first"), taken=("taken", "sum"))
+    assert max(abs(by.target[k] - plan[k]) for k in plan) < 1e-6
+    # shares are rounded up to words, so the total budget cuts the runs that finish last, of 5 words at most
+    assert ((by.taken - by.target).abs() <= 5).all() and (got.taken <= 3 * got["size"]).all()
+    assert got.taken.sum() == got["size"].sum()
+    key = ["skey", "doc_id", "tkey", "size", "taken"]
+    rows = [t[key].sort_values(key).reset_index(drop=True) for t in (got, again)]
+    assert rows[0].equals(rows[1])
+
+
+@pytest.mark.parametrize("stage", [simhash.keep_one, line_dedup.drop_lines, mixing.apply_mix])
+def test_columns_of_helper_names_stay(odd, stage):
+    names = ["key", "keep", "Size", "taken", "tkey", "copy", "words", "__key", "__keep", "__size"]
+    docs = odd.select("doc_id", "text", "lang", "source", "n_chars", *(F.lit(f"own {n}").alias(n) for n in names))
+    got = stage(docs)
+    assert got.columns == docs.columns
+    assert {tuple(r) for r in got.select(*names).distinct().collect()} == {tuple(f"own {n}" for n in names)}
+
+
 def test_line_dedup(spark, odd):
     rows = {r.doc_id: r.text for r in line_dedup.drop_lines(odd).collect() if r.doc_id in (None, 7, 8)}
     line = "The same line of more than twenty letters"
