@@ -17,12 +17,13 @@ pending and stops, doing nothing when no new file arrived.  A
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from carelake.constants import DOMAINS
 from carelake.pipeline import DEFAULT_BUCKETS, apply_load, refresh_mart
-from carelake.sources.batches import claim, stream_id
+from carelake.sources.batches import claim, is_done, stream_id
 from carelake.sources.csv import stream_landing
 
 
@@ -40,9 +41,16 @@ def start_ingest(spark: SparkSession, landing: str, root: str, domain: str, *, c
     def process(batch_df, batch_id: int) -> None:
         session = batch_df.sparkSession
         claimed = claim(session, root, f"stream/{stream_id(session, ckpt)}/{batch_id}")
-        apply_load(session, root, domain, batch_df, claimed, n_buckets, incremental, load_once=not redeliver)
+        if on_rows is None or is_done(session, root, claimed):  # a finished load reads nothing that could be counted on
+            apply_load(session, root, domain, batch_df, claimed, n_buckets, incremental, load_once=not redeliver)
+            rows = batch_df.count() if on_rows is not None else 0
+        else:  # counted as the load's first scan of the files passes by
+            seen = Observation()
+            counted = batch_df.observe(seen, F.count(F.lit(1)).alias("rows"))
+            apply_load(session, root, domain, counted, claimed, n_buckets, incremental, load_once=not redeliver)
+            rows = seen.get["rows"]
         if on_rows is not None:
-            on_rows(batch_df.count())
+            on_rows(rows)
 
     src = stream_landing(spark, landing, domain, max_files_per_trigger)
     return (src.writeStream.queryName(f"ingest_{domain}")

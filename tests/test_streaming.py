@@ -75,6 +75,30 @@ def test_stream_two_loads_equals_batch_merge(spark, wh_small, tmp_path):
         assert _rows(after.table(f"core_{d}"), want.columns) == _rows(want, want.columns), d
 
 
+def test_rows_are_counted_without_another_scan(spark, wh_small, tmp_path, monkeypatch):
+    """The landing files are gone once the load has ended: the count must come from the load's own scan."""
+    from carelake.streaming import ingest
+
+    landing, root = str(tmp_path / "landing"), str(tmp_path / "wh")
+    os.makedirs(landing)
+    whole = ingest.apply_load
+
+    def load_then_lose_files(*args, **kw):
+        whole(*args, **kw)
+        for name in os.listdir(landing):
+            if name.startswith(args[2]):
+                os.remove(os.path.join(landing, name))
+
+    for n in (1, 2):  # the second load also asks the ledger of files
+        raws = {d: wh_small.resolve(f"raw_{d}") for d in DOMAINS}
+        for d in DOMAINS:
+            _land(wh_small, landing, d, raws[d], f"load{n}")
+        with monkeypatch.context() as m:
+            m.setattr(ingest, "apply_load", load_then_lose_files)
+            seen = run_available(spark, landing, root, refresh=False)
+        assert seen == {d: raws[d].count() for d in DOMAINS}
+
+
 @pytest.mark.parametrize("incremental", [False, True])
 def test_batch_pipeline_matches_lazy_marts(spark, wh_small, tmp_path, incremental):
     from carelake.pipeline import run_batch
