@@ -179,12 +179,14 @@ def prepare(domain: str, raw: DataFrame) -> DataFrame:
     for c in ("_loaded_at", "_source_file"):
         if c not in parsed.columns:
             parsed = parsed.withColumn(c, F.lit(None).cast("timestamp_ntz" if c == "_loaded_at" else "string"))
-    rules = RULES[domain]()
-    reasons = F.filter(
-        F.array(*[F.when(~F.coalesce(r.passes, F.lit(False)), F.lit(r.reason)) for r in rules]),
-        lambda x: x.isNotNull(),
+    # Lists put together by flatten() are compiled with the rules; a filter() with a lambda has them interpreted.
+    none = F.array().cast("array<string>")
+    reasons = F.flatten(
+        F.array(*[F.when(F.coalesce(r.passes, F.lit(False)), none).otherwise(F.array(F.lit(r.reason))) for r in RULES[domain]()])
     )
-    return parsed.withColumn("_reasons", reasons)
+    # The list comes out of a generator (one row each), so that a filter on it is not pushed below the parsed columns, where
+    # Catalyst writes every rule out over the RAW expressions and runs it a second time, in the condition of a join below.
+    return parsed.select("*", F.explode_outer(F.array(reasons)).alias("_reasons"))
 
 
 def core_columns(domain: str) -> list[str]:

@@ -3,6 +3,7 @@
 import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from carelake.operators import clean as C
 from carelake.schemas import RAW_COLUMNS
@@ -132,3 +133,24 @@ def test_expected_counts_sf0001(wh_small):
     assert ex[("RAW_BILLING", "NEGATIVE_NET_AMOUNT")] == 317
     assert ex[("RAW_BILLING", "INVALID_PAYMENT_MODE")] == 1001
     assert ex[("RAW_BILLING", "MISSING_INSURER")] == 509
+
+
+@pytest.mark.parametrize("domain", ["patients", "appointments", "billing"])
+def test_rules_run_once_and_compiled(wh_small, domain):
+    """A filter on the reasons stays above them: the rules are written out once, over the parsed columns, without a lambda."""
+    prepared = wh_small.resolve(f"prepared_{domain}")
+    for df in (C.rejects(domain, prepared), C.valid_rows(domain, prepared), prepared.filter(F.size("_reasons") > 1)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        for rule in C.RULES[domain]():
+            assert plan.count(f"[{rule.reason}]") + plan.count(f"THEN {rule.reason} ") == 1, rule.reason
+        assert "lambda" not in plan
+
+
+def test_reasons_of_duplicate_and_null_rows(spark):
+    """One row comes out for each that goes in, reasons in the order of the rules, an empty list where none is broken."""
+    bad = [None] * len(B)
+    rows = [tuple(B), tuple(B), tuple(bad), tuple(bad)]
+    got = sorted(r[0] for r in C.prepare("billing", raw(spark, "billing", rows)).select("_reasons").collect())
+    broken = ["INVALID_BILL_ID", "INVALID_BILL_DATE", "INVALID_PATIENT_ID", "MISSING_SERVICE_CODE", "INVALID_GROSS_AMOUNT",
+              "INVALID_PAYMENT_MODE"]
+    assert got == [[], [], broken, broken]
