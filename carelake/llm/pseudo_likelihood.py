@@ -53,9 +53,14 @@ GATHER = 1 << 15
 FLUSH = 200_000
 
 
-def words_of(text: str | None) -> list[bytes]:
-    """Lower-cased (A-Z) runs of anything but ASCII white space."""
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+def words_of(text: str | bytes | None) -> list[bytes]:
+    """Lower-cased (A-Z) runs of anything but ASCII white space; of a text or its UTF-8."""
+    text = text or b""
+    return (text.encode("utf-8", "surrogatepass") if isinstance(text, str) else text).lower().split()
+
+
+def _utf8(texts: pa.Array) -> list[bytes | None]:
+    return texts.cast(pa.binary()).to_pylist()
 
 
 class Words(NamedTuple):
@@ -121,8 +126,8 @@ def count_words(docs: DataFrame) -> DataFrame:
             c.clear()
 
         for b in batches:
-            for t in b.column(0):
-                c.update(words_of(t.as_py()))
+            for t in _utf8(b.column(0)):
+                c.update(words_of(t))
                 if len(c) > FLUSH:
                     yield from out()
         yield from out()
@@ -196,9 +201,15 @@ def unflat(v: np.ndarray, size: int) -> dict[str, np.ndarray]:
 
 def contexts(ids: np.ndarray, edge: int) -> np.ndarray:
     """For each word of a text the ids of its neighbours, SIDE on either side (edges have an id of their own)."""
-    padded = np.concatenate((np.full(SIDE, edge), ids, np.full(SIDE, edge)))
-    n = len(ids)
-    return np.stack([padded[d : d + n] for d in (*range(SIDE), *range(SIDE + 1, 2 * SIDE + 1))])
+    return contexts_of([ids], edge)
+
+
+def contexts_of(texts: list[np.ndarray], edge: int) -> np.ndarray:
+    """:func:`contexts` of the words of several texts, one after the other."""
+    gap, sizes = np.full(SIDE, edge), [len(t) for t in texts]
+    padded = np.concatenate([gap, *(x for t in texts for x in (t, gap))])
+    at = np.arange(sum(sizes)) + np.repeat(np.arange(1, len(texts) + 1) * SIDE, sizes)
+    return np.stack([np.take(padded, at + d) for d in (*range(-SIDE, 0), *range(1, SIDE + 1))])
 
 
 def _softmax(a):
@@ -253,36 +264,63 @@ class Trainer:
         self.seen = {k: np.full_like(v, 1e-3) for k, v in w.items()}
         self.words = 0
 
-    def _push(self, k, g, at=...):
-        self.seen[k][at] += g * g
-        self.w[k][at] -= RATE * g / np.sqrt(self.seen[k][at])
+    def _push(self, k, g):
+        self.seen[k] += g * g
+        self.w[k] -= RATE * g / np.sqrt(self.seen[k])
+
+    def _push_rows(self, d, met, g):
+        """Of the embeddings at the place ``d``, the rows met."""
+        seen = np.take(self.seen["embed"][d], met, axis=0)
+        seen += g * g
+        self.seen["embed"][d][met] = seen
+        self.w["embed"][d][met] -= RATE * g / np.sqrt(seen)
 
     def step(self, ctx: np.ndarray, ids: np.ndarray) -> None:
+        """Values at words have a row for each hidden unit, and a row of ones for the bias, so that sums over words run through
+        memory; words are put in order of their class, whose softmaxes then are one operation on all of them."""
         w, n = self.w, len(ids)
         self.words += n
         h = _hidden(w, ctx)
+        h = np.concatenate((h.T, np.ones((1, n), h.dtype)))
         cls, of = np.divmod(ids, len(w["class_bias"]))
-        p = _softmax(w["classes"].T @ h.T + w["class_bias"][:, None])
+        p = _softmax(np.concatenate((w["classes"], w["class_bias"][None])).T @ h)
         p[cls, np.arange(n)] -= 1
-        dh = p.T @ w["classes"].T
-        push = [("classes", (p @ h).T / n, ...), ("class_bias", p.sum(1) / n, ...)]
-        for c, some in _by_class(cls):
-            part = np.take(h, some, axis=0)
-            q = _softmax(w["words"][c].T @ part.T + w["word_bias"][c][:, None])
-            q[of[some], np.arange(len(some))] -= 1
-            dh[some] += q.T @ w["words"][c].T
-            push += [("words", (q @ part).T / n, c), ("word_bias", q.sum(1) / n, c)]
-        dh *= 1 - h * h
-        push.append(("hidden", dh.sum(0) / n, ...))
-        columns, row = np.arange(HIDDEN), np.empty(w["embed"].shape[1], np.int64)
+        dh = w["classes"] @ p
+        g = h @ p.T / n
+        push = {"classes": g[:-1], "class_bias": g[-1]}
+
+        parts = list(_by_class(cls))
+        order = np.concatenate([some for _, some in parts])
+        ends = np.cumsum([len(some) for _, some in parts])
+        spans = [(c, slice(e - len(some), e)) for (c, some), e in zip(parts, ends)]
+        weights = np.concatenate((w["words"], w["word_bias"][:, None]), axis=1)
+        by_class, q = np.take(h, order, axis=1), np.empty((weights.shape[2], n), p.dtype)
+        for c, at in spans:
+            np.matmul(weights[c].T, by_class[:, at], out=q[:, at])
+        _softmax(q)
+        q[of[order], np.arange(n)] -= 1
+        back, g = np.empty_like(dh), np.zeros_like(weights)
+        for c, at in spans:
+            np.matmul(w["words"][c], q[:, at], out=back[:, at])
+            np.matmul(by_class[:, at], q[:, at].T, out=g[c])
+        g /= n
+        push |= {"words": g[:, :-1], "word_bias": g[:, -1]}
+
+        place = np.empty(n, np.int64)
+        place[order] = np.arange(n)
+        dh += np.take(back, place, axis=1)
+        dh *= 1 - h[:-1] * h[:-1]
+        push["hidden"] = dh.sum(1) / n
+        for k, g in push.items():
+            self._push(k, g)
+        dh = dh.astype(np.float64)
+        row = np.empty(w["embed"].shape[1], np.int64)
         for d in range(2 * SIDE):
             met = np.flatnonzero(np.bincount(ctx[d]))
             row[met] = np.arange(len(met))
-            at = (row[ctx[d]][:, None] * HIDDEN + columns).ravel()
-            g = np.bincount(at, dh.ravel()).reshape(-1, HIDDEN) / n
-            push.append(("embed", g.astype(np.float32), (d, met)))
-        for k, g, at in push:
-            self._push(k, g, at)
+            at = row[ctx[d]]
+            g = np.stack([np.bincount(at, x) for x in dh], axis=1) / n
+            self._push_rows(d, met, g.astype(np.float32))
 
 
 CODED = "row long, n_words long, codes binary, rare array<struct<word: binary, times: long, unseen: double>>"
@@ -299,8 +337,8 @@ def code(docs: DataFrame, words: Words) -> DataFrame:
             for at in range(0, b.num_rows, 512):
                 some = b.slice(at, 512)
                 packed, sizes, unheld = [], [], []
-                for t in some.column(2):
-                    found = words_of(t.as_py())
+                for t in _utf8(some.column(2)):
+                    found = words_of(t)
                     one = np.fromiter(map(codes.__getitem__, found), np.int32, len(found))
                     packed.append(one.tobytes())
                     sizes.append(len(one))
@@ -359,7 +397,7 @@ def train_on(coded: DataFrame, words: Words, rounds: int = ROUNDS) -> dict[str,
                 full = [ids[one] for _, _, one in held if len(one)]
                 if not full:
                     continue
-                ctx, all_ids = np.concatenate([contexts(x, edge) for x in full], axis=1), np.concatenate(full)
+                ctx, all_ids = contexts_of(full, edge), np.concatenate(full)
                 for i in range(0, len(all_ids), step):
                     trainer.step(ctx[:, i : i + step], all_ids[i : i + step])
             if trainer.words:
@@ -414,7 +452,7 @@ def score_coded(rows: DataFrame, words: Words, w: dict[str, np.ndarray]) -> Data
             all_codes = np.concatenate([one for _, _, one in held])
             if len(all_codes):
                 all_ids = ids[all_codes]
-                ctx = np.concatenate([contexts(ids[one], edge) for _, _, one in held], axis=1)
+                ctx = contexts_of([ids[one] for _, _, one in held], edge)
                 logs = np.concatenate(
                     [
                         log_probabilities(weights, ctx[:, i : i + SCORE_STEP], all_ids[i : i + SCORE_STEP])
